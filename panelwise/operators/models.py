@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelwise.functions.derive import risk_band, split_tag
 from panelwise.operators import stats
@@ -64,13 +64,18 @@ def candidates(kind: str, grid: Mapping[str, Sequence]) -> list[Spec]:
 
 def time_split(df: DataFrame, period: str, n_test: int = 5) -> tuple[DataFrame, DataFrame]:
     """(train, test): the last ``n_test`` distinct periods are the test side."""
-    first_test = (
-        df.select(period).distinct().orderBy(F.desc(period)).limit(n_test).agg(F.min(period)).scalar()
-    )
-    return df.filter(F.col(period) < first_test), df.filter(F.col(period) >= first_test)
+    return split_at(df, period, first_test_period(df, period, n_test))
+
+
+def first_test_period(df: DataFrame, period: str, n_test: int) -> Column:
+    """The earliest of the last ``n_test`` distinct periods."""
+    last = df.select(period).distinct().orderBy(F.desc(period)).limit(n_test)
+    return last.agg(F.min(period)).scalar()
 
 
-def split_at(df: DataFrame, period: str, first_test: int) -> tuple[DataFrame, DataFrame]:
+def split_at(
+    df: DataFrame, period: str, first_test: int | Column
+) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(period) < first_test), df.filter(F.col(period) >= first_test)
 
 
@@ -159,17 +164,19 @@ def fit(
     output: str = "predicted",
     prepared: Sequence | None = None,
 ) -> PipelineModel:
-    """Fit one model on the rows with a label; ``prepared`` reuses fitted preparation stages."""
-    rows = train.dropna(subset=[label])
-    stages = list(prepared or preparation(rows, features, scaling))
-    inputs = (
-        PipelineModel(stages).transform(rows).select(F.col(label).cast("double").alias(label), VECTOR)
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit one model on the rows with a label; ``prepared`` reuses fitted preparation stages.
+
+    Preparation and fitting go over the rows several times, so the columns they need are kept.
+    """
+    rows = train.dropna(subset=[label]).select(F.col(label).cast("double").alias(label), *features)
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        stages = list(prepared or preparation(rows, features, scaling))
+        inputs = PipelineModel(stages).transform(rows).select(label, VECTOR)
         n, deviation = inputs.agg(F.count(label), F.stddev_pop(label)).first()
         model = _estimator(spec, label, output, n, deviation or 0.0).fit(inputs)
     finally:
-        inputs.unpersist()
+        rows.unpersist()
     return PipelineModel([*stages, model])
 
 

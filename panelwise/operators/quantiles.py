@@ -2,8 +2,8 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here a few passes narrow
 the search instead: each counts the values of a still-open interval in equal-width bins (a few
-thousand rows cross the network, whatever the table holds) and goes on with the bin that
-contains the wanted rank, until that bin is one value or small enough to sort. The passes are
+thousand rows cross the network, whatever the table holds) and goes on with the bins that
+contain wanted ranks, until a bin is one value or small enough to sort. The passes are
 aggregate-and-filter jobs; the filter on the interval reaches the scan.
 """
 
@@ -11,37 +11,26 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import reduce
+from operator import or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BINS = 4096
-SORTABLE = 50_000
+SORTABLE = 100_000
 
 
-@dataclass(frozen=True)
-class _Search:
-    """Rank ``rank`` (from 0) of ``column`` is value number ``rank - below`` in [low, high]."""
+class Interval(NamedTuple):
+    """``count`` values of ``column`` lie in [low, high], ``below`` are smaller than ``low``."""
 
     column: str
-    rank: int
     low: float
     high: float
     below: int
     count: int
 
 
-def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
-    """(non-null count, min, max) per column, one pass."""
-    row = df.agg(
-        *[
-            F.struct(F.count(c), F.min(c).cast("double"), F.max(c).cast("double")).alias(c)
-            for c in columns
-        ]
-    ).first()
-    return {c: tuple(row[c]) for c in columns}
-
-
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -49,101 +38,105 @@ def exact_quantiles(
     bins: int = BINS,
     sortable: int = SORTABLE,
 ) -> dict[str, list[float | None]]:
-    """Per column the quantiles with linear interpolation; NULL for a column without values."""
-    ranges = column_ranges(df, columns)
-    wanted: dict[tuple[str, float], tuple[int, int, float]] = {}
-    open_searches: set[_Search] = set()
-    for c, (n, low, high) in ranges.items():
-        for p in probabilities if n else ():
-            place = p * (n - 1)
-            a, b = math.floor(place), math.ceil(place)
-            wanted[c, p] = (a, b, place - a)
-            open_searches |= {_Search(c, r, low, high, 0, n) for r in (a, b)}
+    """Per column the quantiles with linear interpolation; None for a column without values."""
+    ends = df.agg(
+        *[
+            F.struct(F.min(c).cast("double"), F.max(c).cast("double"), F.count(c)).alias(c)
+            for c in columns
+        ]
+    ).first()
+    places: dict[str, list[float]] = {}
+    pending: dict[Interval, set[int]] = {}
+    for c in columns:
+        low, high, n = ends[c]
+        places[c] = [p * (n - 1) for p in probabilities] if n else []
+        if n:
+            ranks = {f(place) for place in places[c] for f in (math.floor, math.ceil)}
+            pending[Interval(c, low, high, 0, n)] = ranks
 
     found: dict[tuple[str, int], float] = {}
-    while open_searches:
-        single = {s for s in open_searches if s.low == s.high}
-        small = {s for s in open_searches - single if s.count <= sortable}
-        found |= {(s.column, s.rank): s.low for s in single}
-        if small:
-            found |= _pick_sorted(df, sorted(small, key=lambda s: (s.column, s.rank)))
-        wide = open_searches - single - small
-        open_searches = _narrow(df, sorted(wide, key=lambda s: (s.column, s.rank)), bins)
-
-    def value(c: str, p: float) -> float | None:
-        if (c, p) not in wanted:
-            return None
-        a, b, part = wanted[c, p]
-        low, high = found[c, a], found[c, b]
-        return low + (high - low) * part
-
-    return {c: [value(c, p) for p in probabilities] for c in columns}
-
-
-def _tagged(df: DataFrame, searches: Sequence[_Search]) -> DataFrame:
-    """(search number, value) for the values inside the searches' intervals."""
-    intervals = {(s.column, s.low, s.high) for s in searches}
-    inside = None
-    for c, low, high in intervals:
-        hit = F.col(c).between(low, high)
-        inside = hit if inside is None else inside | hit
+    while pending:
+        single = {i: r for i, r in pending.items() if i.low == i.high}
+        small = {i: r for i, r in pending.items() if i not in single and i.count <= sortable}
+        wide = {i: r for i, r in pending.items() if i not in single and i not in small}
+        found |= {(i.column, rank): i.low for i, ranks in single.items() for rank in ranks}
+        found |= _read_sorted(df, small)
+        pending = _narrow(df, wide, bins)
+
+    def interpolate(c: str, place: float) -> float:
+        low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
+        return low + (high - low) * (place - math.floor(place))
+
+    return {
+        c: [interpolate(c, place) for place in places[c]] or [None] * len(probabilities)
+        for c in columns
+    }
+
+
+def _inside(df: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
+    """(number of the interval, value) for every value inside one of the intervals."""
+    conditions = [F.col(i.column).between(i.low, i.high) for i in intervals]
     entries = [
-        F.when(
-            F.col(s.column).between(s.low, s.high),
-            F.struct(F.lit(i).alias("s"), F.col(s.column).cast("double").alias("v")),
-        )
-        for i, s in enumerate(searches)
+        F.when(hit, F.struct(F.lit(k).alias("k"), F.col(i.column).cast("double").alias("v")))
+        for k, (i, hit) in enumerate(zip(intervals, conditions, strict=True))
     ]
-    needed = df.select(*sorted({s.column for s in searches})).filter(inside)
+    needed = df.select(*{i.column for i in intervals}).filter(reduce(or_, conditions))
     return needed.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
 
 
-def _pick_sorted(df: DataFrame, searches: Sequence[_Search]) -> dict[tuple[str, int], float]:
-    """Sort at most ``sortable`` values per search and read the one at its place."""
-    places = F.array(*[F.lit(s.rank - s.below) for s in searches])
+def _read_sorted(df: DataFrame, pending: dict[Interval, set[int]]) -> dict[tuple[str, int], float]:
+    """Sort the few values of each interval and read those at the wanted places."""
+    if not pending:
+        return {}
+    intervals = list(pending)
+    ranks = [sorted(pending[i]) for i in intervals]
+    wanted = F.array(*[F.array(*[F.lit(r - i.below) for r in rs]) for i, rs in zip(intervals, ranks)])
     rows = (
-        _tagged(df, searches)
-        .groupBy("s")
+        _inside(df, intervals)
+        .groupBy("k")
         .agg(F.array_sort(F.collect_list("v")).alias("vs"))
-        .select("s", F.get("vs", F.get(places, F.col("s"))).alias("v"))
+        .select("k", F.transform(F.get(wanted, "k"), lambda p: F.get("vs", p)).alias("picked"))
         .collect()
     )
-    return {(searches[r.s].column, searches[r.s].rank): r.v for r in rows}
+    return {
+        (intervals[row.k].column, rank): v
+        for row in rows
+        for rank, v in zip(ranks[row.k], row.picked, strict=True)
+    }
 
 
-def _narrow(df: DataFrame, searches: Sequence[_Search], bins: int) -> set[_Search]:
-    """Replace each interval by the values of the bin that holds its rank."""
-    if not searches:
-        return set()
+def _narrow(
+    df: DataFrame, pending: dict[Interval, set[int]], bins: int
+) -> dict[Interval, set[int]]:
+    """Replace each interval by those of its bins that hold wanted ranks."""
+    if not pending:
+        return {}
+    intervals = list(pending)
 
-    def per_search(values) -> Column:
-        return F.get(F.array(*[F.lit(x) for x in values]), F.col("s"))
+    def of_interval(values: Sequence) -> Column:
+        return F.get(F.array(*values), F.col("k"))
 
-    low = per_search([s.low for s in searches])
-    high = per_search([s.high for s in searches])
+    low = of_interval([F.lit(i.low) for i in intervals])
+    high = of_interval([F.lit(i.high) for i in intervals])
     # Halves first: the width of an interval may exceed the largest double.
     share = (F.col("v") / 2 - low / 2) / (high / 2 - low / 2)
     counted = (
-        _tagged(df, searches)
-        .withColumn("bin", F.least(F.floor(share * bins), F.lit(bins - 1)))
-        .groupBy("s", "bin")
+        _inside(df, intervals)
+        .groupBy("k", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
         .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
-    upto = F.sum("n").over(Window.partitionBy("s").orderBy("bin"))
-    place = per_search([s.rank - s.below for s in searches])
+    upto = F.sum("n").over(Window.partitionBy("k").orderBy("bin"))
+    wanted = of_interval(
+        [F.array(*[F.lit(r - i.below) for r in sorted(pending[i])]) for i in intervals]
+    )
     rows = (
         counted.withColumn("upto", upto)
-        .filter((place < F.col("upto")) & (place >= F.col("upto") - F.col("n")))
+        .filter(F.exists(wanted, lambda p: (p < F.col("upto")) & (p >= F.col("upto") - F.col("n"))))
         .collect()
     )
-    return {
-        _Search(
-            searches[r.s].column,
-            searches[r.s].rank,
-            r.low,
-            r.high,
-            searches[r.s].below + r.upto - r.n,
-            r.n,
-        )
-        for r in rows
-    }
+    narrowed = {}
+    for row in rows:
+        outer = intervals[row.k]
+        inner = Interval(outer.column, row.low, row.high, outer.below + row.upto - row.n, row.n)
+        narrowed[inner] = {r for r in pending[outer] if 0 <= r - inner.below < inner.count}
+    return narrowed

@@ -21,16 +21,23 @@ def correlation(x: str | Column, y: str | Column) -> Column:
 def correlated_columns(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> list[str]:
     """Columns to drop: those correlated above the limit with any earlier one.
 
-    A dropped column still drops later ones. Every pass computes a batch of pairs in a single
-    aggregation row; only the coefficients come back.
+    A dropped column still drops later ones. Every pass spreads a row over a batch of pairs and
+    combines them on the map side: one row per pair and task is shuffled and the generated code
+    stays small however many pairs there are.
     """
     pairs = [(a, b) for j, b in enumerate(columns) for a in columns[:j]]
     dropped = set()
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         batch = pairs[start : start + PAIRS_PER_PASS]
-        row = df.agg(*[F.abs(correlation(a, b)).alias(f"r{i}") for i, (a, b) in enumerate(batch)])
-        values = row.first()
-        dropped |= {b for (_, b), r in zip(batch, values, strict=True) if r is not None and r > limit}
+        cells = [
+            F.struct(
+                F.lit(i).alias("i"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
+            )
+            for i, (a, b) in enumerate(batch)
+        ]
+        spread = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        high = spread.groupBy("i").agg(correlation("x", "y").alias("r")).filter(F.abs("r") > limit)
+        dropped |= {batch[row.i][1] for row in high.collect()}
     return [c for c in columns if c in dropped]
 
 

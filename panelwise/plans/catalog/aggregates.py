@@ -251,7 +251,7 @@ MEASURES = (
 
 def _any_correlated(j: int) -> str:
     tests = [f"coalesce(abs(corr({a}, {MEASURES[j]})) > 0.95, false)" for a in MEASURES[:j]]
-    return " OR ".join(tests) or "false"
+    return " OR ".join(tests) or "bool_or(false)"
 
 
 @query(

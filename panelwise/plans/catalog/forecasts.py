@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwise.operators import ensemble, forecast, models, shape, stats
+from panelwise.functions import derive
+from panelwise.operators import ensemble, forecast, models, stats
 from panelwise.plans import bindings as b, features
 from panelwise.plans.catalog.joins import _SHARES, incidence
 from panelwise.plans.catalog.registry import query
+from panelwise.session import landed
 
 
 @query(
@@ -106,8 +108,8 @@ def scenario_score(spark: SparkSession, sf: str) -> DataFrame:
 )
 def time_split(spark: SparkSession, sf: str) -> DataFrame:
     panel = b.monthly(spark, sf).select("city", "year", "month")
-    train, test = models.time_split(panel, "year", 2)
-    return shape.union_tagged({"train": train, "test": test}, "split")
+    first_test = models.first_test_period(b.readings(spark, sf), "year", 2)
+    return panel.withColumn("split", derive.split_tag(F.col("year"), first_test))
 
 
 @query(
@@ -119,6 +121,7 @@ def time_split(spark: SparkSession, sf: str) -> DataFrame:
 def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["temp_mean", "precip_total"]
     panel = b.monthly(spark, sf).select("city", "year", "month", *columns)
+    panel = landed(panel, "panel")
     scaled = stats.scale(panel, stats.standard_parameters(panel, columns))
     return scaled.select("city", "year", "month", *[F.round(f"{c}_scaled", 6).alias(f"{c}_scaled") for c in columns])
 

@@ -142,25 +142,26 @@ def anti_keys(spark: SparkSession, sf: str) -> DataFrame:
 # --- set operations ---------------------------------------------------------------------------
 
 
-@query("union_all", "SELECT country, year, indicator, value FROM indicators")
+@query(
+    "union_all",
+    """SELECT country, year, indicator, value FROM indicators
+       UNION ALL SELECT city AS country, year, 'rainfall' AS indicator, precip_total AS value FROM annual""",
+)
 def union_all(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.indicator_rows(spark, sf)
-    parts = [
-        rows.filter(F.col("indicator") == name)
-        .groupBy("country", "year", "indicator")
-        .agg(F.sum("value").alias("value"))
-        for name in b.INDICATORS
-    ]
-    return shape.union_all(parts)
+    rain = climate(spark, sf).select(
+        F.col("precip_total").alias("value"), F.lit("rainfall").alias("indicator"), "year", F.col("city").alias("country")
+    )
+    return shape.union_all([b.indicators(spark, sf).select("country", "year", "indicator", "value"), rain])
 
 
 @query(
     "union_fill",
-    """SELECT model, round(mae, 4) AS mae, n FROM metrics
-       UNION ALL SELECT 'mean of all' AS model, round(avg(mae), 4) AS mae, NULL AS n FROM metrics""",
+    """SELECT model, round(mae, 4) AS mae, r2 > 0 AS has_skill FROM metrics
+       UNION ALL SELECT 'mean of all' AS model, round(avg(mae), 4) AS mae, NULL AS has_skill FROM metrics""",
 )
 def union_fill(spark: SparkSession, sf: str) -> DataFrame:
-    single = stats.regression_metrics(b.predictions(spark, sf)).select("model", "mae", "n")
+    metrics = stats.regression_metrics(b.predictions(spark, sf))
+    single = metrics.select("model", "mae", (F.col("r2") > 0).alias("has_skill"))
     pooled = single.agg(F.lit("mean of all").alias("model"), F.avg("mae").alias("mae"))
     return shape.union_all([single, pooled], fill=True).withColumn("mae", F.round("mae", 4))
 

@@ -9,7 +9,7 @@ from panelwise.operators import models, stats
 from panelwise.operators.models import Spec
 from panelwise.plans import bindings as b, features as chains
 from panelwise.plans.catalog.registry import query
-from panelwise.session import new_folder
+from panelwise.session import landed, new_folder
 
 ID = ["city", "year", "month"]
 FIRST_TEST = 2000
@@ -32,42 +32,46 @@ _PREDICTED = "SELECT city, year, month, round(p, 3) AS predicted FROM scored"
 
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
-    return b.monthly(spark, sf)
+    """The monthly panel, written once: fitting goes over it many times."""
+    return landed(b.monthly(spark, sf), "panel")
 
 
 def train_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("year") < FIRST_TEST)
 
 
-def fit_two(spark: SparkSession, sf: str, spec: Spec) -> PipelineModel:
-    return models.fit(train_rows(panel(spark, sf)), TWO, LABEL, spec)
+def fit_two(rows: DataFrame, spec: Spec) -> PipelineModel:
+    return models.fit(train_rows(rows), TWO, LABEL, spec)
 
 
-def scored(spark: SparkSession, sf: str, model: PipelineModel, digits: int = 3) -> DataFrame:
-    out = models.predict({"predicted": model}, panel(spark, sf))
+def scored(rows: DataFrame, model: PipelineModel, digits: int = 3) -> DataFrame:
+    out = models.predict({"predicted": model}, rows)
     return out.select(*ID, F.round("predicted", digits).alias("predicted"))
 
 
 @query("model_ridge", _two_feature_sql(10.0, _PREDICTED))
 def model_ridge(spark: SparkSession, sf: str) -> DataFrame:
-    return scored(spark, sf, fit_two(spark, sf, Spec("ridge", {"alpha": 10.0})))
+    rows = panel(spark, sf)
+    return scored(rows, fit_two(rows, Spec("ridge", {"alpha": 10.0})))
 
 
 @query("model_ols", _two_feature_sql(0.0, _PREDICTED))
 def model_ols(spark: SparkSession, sf: str) -> DataFrame:
-    return scored(spark, sf, fit_two(spark, sf, Spec("ols")))
+    rows = panel(spark, sf)
+    return scored(rows, fit_two(rows, Spec("ols")))
 
 
 @query("model_save_load", _two_feature_sql(0.0, _PREDICTED))
 def model_save_load(spark: SparkSession, sf: str) -> DataFrame:
-    path = new_folder(spark, "model")
-    models.save_model(fit_two(spark, sf, Spec("ols")), path)
-    return scored(spark, sf, models.load_first([f"{path}-final", path]))
+    rows, path = panel(spark, sf), new_folder(spark, "model")
+    models.save_model(fit_two(rows, Spec("ols")), path)
+    return scored(rows, models.load_first([f"{path}-final", path]))
 
 
 @query("retrain_full", _two_feature_sql(1.0, _PREDICTED, train=""))
 def retrain_full(spark: SparkSession, sf: str) -> DataFrame:
-    return scored(spark, sf, models.fit(panel(spark, sf), TWO, LABEL, Spec("ridge", {"alpha": 1.0})))
+    rows = panel(spark, sf)
+    return scored(rows, models.fit(rows, TWO, LABEL, Spec("ridge", {"alpha": 1.0})))
 
 
 @query(
@@ -82,9 +86,10 @@ def retrain_full(spark: SparkSession, sf: str) -> DataFrame:
     ).replace("FROM base, st, w)\n        ,", "FROM base, st, w),"),
 )
 def batch_score(spark: SparkSession, sf: str) -> DataFrame:
-    model = fit_two(spark, sf, Spec("ols"))
+    rows = panel(spark, sf)
+    model = fit_two(rows, Spec("ols"))
     temp = F.when(F.col("month") != 5, F.col("temp_mean"))
-    requests = panel(spark, sf).select(*ID, temp.alias("temp_mean"), "n_obs")
+    requests = rows.select(*ID, temp.alias("temp_mean"), "n_obs")
     return models.batch_score(requests, model, TWO).select(*ID, "predicted", "risk")
 
 
@@ -97,8 +102,9 @@ def batch_score(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def prediction_table(spark: SparkSession, sf: str) -> DataFrame:
-    model = fit_two(spark, sf, Spec("ols"))
-    table = models.tagged_predictions(model, panel(spark, sf), ID, LABEL, "year", FIRST_TEST)
+    rows = panel(spark, sf)
+    model = fit_two(rows, Spec("ols"))
+    table = models.tagged_predictions(model, rows, ID, LABEL, "year", FIRST_TEST)
     return table.withColumns({c: F.round(c, 3) for c in ("predicted", "residual")})
 
 
@@ -111,7 +117,7 @@ def prediction_table(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    model = fit_two(spark, sf, Spec("ridge", {"alpha": 10.0}))
+    model = fit_two(panel(spark, sf), Spec("ridge", {"alpha": 10.0}))
     return models.importances(spark, model, TWO).withColumn("importance", F.round("importance", 6))
 
 
@@ -133,7 +139,7 @@ FEATURES = [
 
 
 def feature_panel(spark: SparkSession, sf: str) -> DataFrame:
-    return chains.monthly_features(panel(spark, sf), LABEL, ["city"])
+    return landed(chains.monthly_features(b.monthly(spark, sf), LABEL, ["city"]), "features")
 
 
 def tree_metrics(spark: SparkSession, sf: str, name: str, spec: Spec) -> DataFrame:

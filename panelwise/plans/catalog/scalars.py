@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwise.functions import cleaning, derive
-from panelwise.operators import clean, shape, stats, window
+from panelwise.operators import clean, stats, window
 from panelwise.plans import bindings as b
 from panelwise.plans.catalog.registry import query
 
@@ -88,8 +88,9 @@ def sentinel_to_null(spark: SparkSession, sf: str) -> DataFrame:
 )
 def validate_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.dirty(spark, sf).select("order_key", "year_text", "code_text")
-    valid, rejected = clean.split_valid(rows, "year_text", "code_text")
-    return shape.union_tagged({"valid": valid, "rejected": rejected}, "status")
+    flagged = clean.with_validity(rows, "year_text", "code_text")
+    status = F.when(F.col("is_valid"), "valid").otherwise("rejected")
+    return flagged.withColumn("status", status).drop("is_valid")
 
 
 @query(
@@ -124,11 +125,8 @@ def filter_case_insensitive(spark: SparkSession, sf: str) -> DataFrame:
 def filter_text_contains(spark: SparkSession, sf: str) -> DataFrame:
     suffix = F.when(F.col("year") < 2000, " (train)").otherwise("")
     tagged = b.predictions(spark, sf).withColumn("tag", F.concat("model", suffix))
-    is_train = clean.contains_tag("tag", "train")
-    train, rest = tagged.filter(is_train), tagged.filter(~is_train)
-    columns = ["city", "year", "month", "tag", "actual"]
-    return shape.union_all(
-        [train.select(*columns, F.lit(True).alias("is_train")), rest.select(*columns, F.lit(False).alias("is_train"))]
+    return tagged.select(
+        "city", "year", "month", "tag", "actual", clean.contains_tag("tag", "train").alias("is_train")
     )
 
 
@@ -179,7 +177,7 @@ def select_numeric_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "round_across",
-    """SELECT city, year, month, round(temp_mean * 1.01, 5) AS temp_mean, round(humidity_mean * 1.01, 5) AS humidity_mean,
+    """SELECT city, year, month, round(sqrt(temp_mean), 3) AS temp_mean, round(sqrt(humidity_mean), 3) AS humidity_mean,
               round(precip_total, -1) AS precip_total FROM monthly""",
 )
 def round_across(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,11 +185,11 @@ def round_across(spark: SparkSession, sf: str) -> DataFrame:
         "city",
         "year",
         "month",
-        (F.col("temp_mean") * 1.01).alias("temp_mean"),
-        (F.col("humidity_mean") * 1.01).alias("humidity_mean"),
+        F.sqrt("temp_mean").alias("temp_mean"),
+        F.sqrt("humidity_mean").alias("humidity_mean"),
         "precip_total",
     )
-    rounded = clean.round_columns(panel, 5, ["temp_mean", "humidity_mean"])
+    rounded = clean.round_columns(panel, 3, ["temp_mean", "humidity_mean"])
     return clean.round_columns(rounded, -1, ["precip_total"])
 
 

@@ -34,7 +34,7 @@ def scan_csv_typed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "scan_csv_strings",
-    "SELECT order_key::VARCHAR AS order_key, code_text, year_text, value_text, date_text FROM dirty",
+    "SELECT order_key::VARCHAR AS order_key, code_text, year_text, nullif(value_text, '') AS value_text, date_text FROM dirty",
 )
 def scan_csv_strings(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["order_key", "code_text", "year_text", "value_text", "date_text"]
@@ -76,16 +76,13 @@ def csv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
             StructField("value", DoubleType()),
         ]
     )
-    kept, quarantined = text.scan_with_quarantine(spark, path, schema, header=False)
-    number = F.when(~F.isnan("value"), F.col("value"))
-    return kept.select(
-        "order_key", F.lit("kept").alias("status"), "year_text", number.alias("value")
-    ).unionByName(
-        quarantined.select(
-            F.split(F.col(text.RECORD), ",")[0].cast("bigint").alias("order_key"),
-            F.lit("quarantined").alias("status"),
-        ),
-        allowMissingColumns=True,
+    rows = text.scan_lines(spark, path, schema, header=False)
+    kept = ~F.col("is_long")
+    return rows.select(
+        "order_key",
+        F.when(kept, "kept").otherwise("quarantined").alias("status"),
+        F.when(kept, F.col("year_text")).alias("year_text"),
+        F.when(kept & ~F.isnan("value"), F.col("value")).alias("value"),
     )
 
 

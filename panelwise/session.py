@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
 
@@ -44,3 +44,14 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/panelwise/{label}-{uuid.uuid4().hex}"
+
+
+def landed(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once and read back.
+
+    For results that several jobs go over: the plan behind them runs once, survives the loss of
+    executors, and later plans know the true size.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

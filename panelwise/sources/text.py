@@ -26,6 +26,7 @@ def scan_typed(spark: SparkSession, path: str, schema: StructType | str) -> Data
 
 
 def scan_strings(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Every column as text; an empty field is NULL."""
     schema = StructType([StructField(c, StringType()) for c in columns])
     return spark.read.option("header", True).schema(schema).csv(path)
 
@@ -42,23 +43,27 @@ def scan_or_empty(
         return spark.createDataFrame([], schema)
 
 
-def scan_with_quarantine(
+def scan_lines(
     spark: SparkSession, path: str, schema: StructType, header: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """(kept, quarantined): a line with more fields than the schema is set apart.
+) -> DataFrame:
+    """(schema's columns, line, is_long): every line parsed, those with too many fields marked.
 
-    Short lines stay, padded with NULL. A field that does not fit its type is NULL.
-    The quarantined side holds the line as it was read.
+    A short line is padded with NULL, a field that does not fit its type is NULL.
     """
-    flagged = (
-        spark.read.option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", RECORD)
-        .schema(StructType([*schema.fields, StructField(RECORD, StringType())]))
-        .csv(path)
-    )
-    bare = F.regexp_replace(F.col(RECORD), r'"[^"]*"', "")
-    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
-    too_long = F.coalesce(fields > len(schema.fields), F.lit(False))
-    return flagged.filter(~too_long).drop(RECORD), flagged.filter(too_long).select(RECORD)
+    lines = spark.read.text(path).filter(F.length("value") > 0)
+    if header:
+        lines = lines.filter(F.col("value") != ",".join(schema.names))
+    bare = F.regexp_replace("value", r'"[^"]*"', "")
+    n_fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE"})
+    return lines.select(
+        parsed.alias("r"), F.col("value").alias(RECORD), (n_fields > len(schema)).alias("is_long")
+    ).select("r.*", RECORD, "is_long")
+
+
+def scan_with_quarantine(
+    spark: SparkSession, path: str, schema: StructType, header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(kept rows, quarantined lines as they were read)."""
+    rows = scan_lines(spark, path, schema, header)
+    return rows.filter(~F.col("is_long")).drop(RECORD, "is_long"), rows.filter("is_long").select(RECORD)
