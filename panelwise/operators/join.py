@@ -36,6 +36,17 @@ def merge_left(
     return left.join(suffix_collisions(left, right, keys, suffix), list(keys), "left")
 
 
+def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the columns of ``per_key``, which holds one row per key of ``df`` itself.
+
+    The null-safe comparison keeps rows with a NULL key together with their group. It also adds
+    no not-null filter to one side only, so both sides share one scan and shuffle.
+    """
+    renamed = per_key.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return df.join(renamed, same, "left").drop(*[f"_key_{k}" for k in keys])
+
+
 def keep_keys(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(keys_of.select(*keys), list(keys), "left_semi")
 
@@ -70,6 +81,4 @@ def focal_difference(
     if not keys:
         return df.withColumn("diff", F.col(value) - df.select(focal_value).scalar())
     base = df.groupBy(*keys).agg(focal_value.alias("_focal"))
-    return df.join(base, list(keys), "left").withColumn("diff", F.col(value) - F.col("_focal")).drop(
-        "_focal"
-    )
+    return attach(df, base, keys).withColumn("diff", F.col(value) - F.col("_focal")).drop("_focal")

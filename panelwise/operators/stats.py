@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from panelwise.operators.join import attach
 from panelwise.operators.quantiles import exact_quantiles
 
 PAIRS_PER_PASS = 200
@@ -148,7 +149,7 @@ def line_fit(df: DataFrame, x: str, y: str, keys: Sequence[str] = ()) -> DataFra
 def with_fitted_line(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFrame:
     fit = line_fit(df, x, y, keys).select(*keys, "slope", "intercept")
     return (
-        df.join(fit, list(keys), "left")
+        attach(df, fit, keys)
         .withColumn("fitted", F.col("intercept") + F.col("slope") * F.col(x))
         .drop("slope", "intercept")
     )
@@ -194,7 +195,7 @@ def quadratic_fit(df: DataFrame, x: str, y: str, keys: Sequence[str]) -> DataFra
     u = F.col(x) - F.col("x_mean")
     v = F.col(y)
     sums = (
-        known.join(means, list(keys), "left")
+        attach(known, means, keys)
         .groupBy(*keys)
         .agg(
             F.first("x_mean").alias("x_mean"),

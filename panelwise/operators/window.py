@@ -12,6 +12,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from panelwise.operators.join import attach
+
 
 def by_time(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
@@ -138,9 +140,7 @@ def with_global_anomaly(
     if not keys:
         return df.withColumn(out, F.col(column) - df.select(F.avg(column)).scalar())
     means = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
-    return df.join(means, list(keys), "left").withColumn(out, F.col(column) - F.col("_mean")).drop(
-        "_mean"
-    )
+    return attach(df, means, keys).withColumn(out, F.col(column) - F.col("_mean")).drop("_mean")
 
 
 def with_pct_from_first(
@@ -151,7 +151,7 @@ def with_pct_from_first(
         F.min_by(column, F.struct(*order)).alias("_first")
     )
     return (
-        df.join(first, list(keys), "left")
+        attach(df, first, keys)
         .withColumn(out, F.try_divide(F.col(column) - F.col("_first"), F.col("_first")) * 100)
         .drop("_first")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelwise.functions import cleaning
-from panelwise.operators import aggregate, clean, shape, stats
+from panelwise.operators import aggregate, clean, join, shape, stats
 from panelwise.plans import bindings as b
 from panelwise.plans.catalog.registry import query
 
@@ -303,12 +303,12 @@ def median_impute(spark: SparkSession, sf: str) -> DataFrame:
     "ols_line",
     """WITH fits AS (SELECT city, regr_slope(precip_total, temp_mean) AS slope, regr_intercept(precip_total, temp_mean) AS intercept
                      FROM monthly GROUP BY city)
-       SELECT city, year, month, round(intercept + slope * temp_mean, 4) AS fitted FROM monthly JOIN fits USING (city)""",
+       SELECT city, year, month, precip_total, round(intercept + slope * temp_mean, 4) AS fitted FROM monthly JOIN fits USING (city)""",
 )
 def ols_line(spark: SparkSession, sf: str) -> DataFrame:
     panel = b.monthly(spark, sf).select("city", "year", "month", "temp_mean", "precip_total")
     fitted = stats.with_fitted_line(panel, "temp_mean", "precip_total", ["city"])
-    return fitted.select("city", "year", "month", F.round("fitted", 4).alias("fitted"))
+    return fitted.select("city", "year", "month", "precip_total", F.round("fitted", 4).alias("fitted"))
 
 
 @query(
@@ -398,7 +398,7 @@ def first_last_change(spark: SparkSession, sf: str) -> DataFrame:
     """WITH m AS (SELECT city, year * 100 + month AS period, temp_mean, CASE WHEN month < 6 THEN precip_total END AS precip_total
                   FROM monthly),
             k AS (SELECT city, arg_max(temp_mean, period) AS temp_mean, arg_max(precip_total, period) AS precip_total,
-                         arg_max({'v': precip_total}, period).v AS precip_last_row FROM m GROUP BY city)
+                         arg_max({'v': precip_total}, period).v AS precip_last_row, arg_max(temp_mean, period) AS temp_last_row FROM m GROUP BY city)
        SELECT * FROM k""",
 )
 def latest_kpis(spark: SparkSession, sf: str) -> DataFrame:
@@ -409,8 +409,9 @@ def latest_kpis(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("month") < 6, F.col("precip_total")).alias("precip_total"),
     )
     known = aggregate.latest_known(series, ["temp_mean", "precip_total"], "period", ["city"])
-    last = aggregate.last_row(series, ["precip_total"], "period", ["city"])
-    return known.join(last.withColumnRenamed("precip_total", "precip_last_row"), "city")
+    last = aggregate.last_row(series, ["temp_mean", "precip_total"], "period", ["city"])
+    renamed = last.withColumnsRenamed({"temp_mean": "temp_last_row", "precip_total": "precip_last_row"})
+    return join.attach(known, renamed, ["city"])
 
 
 @query(
