@@ -74,16 +74,10 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Each column is counted in its own two-step aggregation and the tagged values share one
     pass, so no task has to hold a column's values.
     """
-    tagged = df.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("t")
-    ).select("t.*")
+    cells = [
+        F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in columns
+    ]
+    tagged = df.select(F.inline(F.array(*cells)))
     per_value = tagged.dropna().groupBy("name", "value").agg(F.lit(1).alias("one"))
     return per_value.agg(*[F.count_if(F.col("name") == c).alias(f"n_{c}") for c in columns])
 

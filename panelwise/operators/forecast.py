@@ -22,19 +22,14 @@ def seasonal_disaggregate(
     """Each positive annual value to twelve monthly ones."""
     months = F.array(
         *[
-            F.struct(F.lit(m).alias("month"), F.lit(s).alias("share"))
+            F.struct(F.lit(m).alias("month"), F.lit(s).alias("_share"))
             for m, s in enumerate(shares, start=1)
         ]
     )
     return (
         df.filter(F.col(annual) > 0)
-        .select(*keys, F.col(annual).alias("annual"), F.explode(months).alias("m"))
-        .select(
-            *keys,
-            F.col("m.month").alias("month"),
-            (F.col("annual") * F.col("m.share")).alias("monthly"),
-            "annual",
-        )
+        .select(*keys, F.col(annual).alias("annual"), F.inline(months))
+        .select(*keys, "month", (F.col("annual") * F.col("_share")).alias("monthly"), "annual")
     )
 
 
@@ -52,27 +47,25 @@ def forecast_trend(
     read at n + h. One or two: the last one. None: 0.
     """
     cells = [
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("y")) for f in features
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("_y")) for f in features
     ]
-    long = df.select(*keys, *order, F.explode(F.array(*cells)).alias("c")).select(
-        *keys, *order, "c.*"
-    )
+    long = df.select(*keys, *order, F.inline(F.array(*cells)))
     entity = [*keys, "feature"]
     w = Window.partitionBy(*entity).orderBy(*order)
-    known_before = F.count("y").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1
-    numbered = long.withColumn("i", F.when(F.col("y").isNotNull(), known_before.cast("double")))
+    known_before = F.count("_y").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    numbered = long.withColumn("_i", F.when(F.col("_y").isNotNull(), known_before.cast("double")))
     fits = numbered.groupBy(*entity).agg(
-        F.count("y").alias("n"),
-        F.regr_slope("y", "i").alias("slope"),
-        F.regr_intercept("y", "i").alias("intercept"),
-        F.max_by("y", "i").alias("last"),
-        F.max(period).alias("end"),
+        F.count("_y").alias("_n"),
+        F.regr_slope("_y", "_i").alias("_slope"),
+        F.regr_intercept("_y", "_i").alias("_intercept"),
+        F.max_by("_y", "_i").alias("_last"),
+        F.max(period).alias("_end"),
     )
-    h = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")
-    line = F.col("intercept") + F.col("slope") * (F.col("n") + F.col("h"))
-    value = F.when(F.col("n") >= 3, line).when(F.col("n") >= 1, F.col("last")).otherwise(F.lit(0.0))
+    h = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_h")
+    line = F.col("_intercept") + F.col("_slope") * (F.col("_n") + F.col("_h"))
+    value = F.when(F.col("_n") >= 3, line).when(F.col("_n") >= 1, F.col("_last")).otherwise(0.0)
     return fits.select("*", h).select(
-        *entity, (F.col("end") + F.col("h")).alias(period), value.alias("value")
+        *entity, (F.col("_end") + F.col("_h")).alias(period), value.alias("value")
     )
 
 

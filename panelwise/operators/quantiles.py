@@ -81,7 +81,7 @@ def _inside(df: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
         for k, (i, hit) in enumerate(zip(intervals, conditions, strict=True))
     ]
     needed = df.select(*{i.column for i in intervals}).filter(reduce(or_, conditions))
-    return needed.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    return needed.select(F.inline(F.array_compact(F.array(*entries))))
 
 
 def _read_sorted(df: DataFrame, pending: dict[Interval, set[int]]) -> dict[tuple[str, int], float]:

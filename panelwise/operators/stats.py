@@ -36,7 +36,7 @@ def correlated_columns(df: DataFrame, columns: Sequence[str], limit: float = 0.9
             )
             for i, (a, b) in enumerate(batch)
         ]
-        spread = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+        spread = df.select(F.inline(F.array(*cells)))
         high = spread.groupBy("i").agg(correlation("x", "y").alias("r")).filter(F.abs("r") > limit)
         dropped |= {batch[row.i][1] for row in high.collect()}
     return [c for c in columns if c in dropped]
@@ -84,7 +84,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
         for c in columns
     ]
-    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return row.select(F.inline(F.array(*entries)))
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

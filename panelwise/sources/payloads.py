@@ -34,12 +34,12 @@ def indicator_pages(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """``[meta, [item, ...]]`` pages to (country, code, year, value) rows."""
     parts = F.from_json(F.col(text), "array<string>")
     items = F.from_json(F.get(parts, F.lit(1)), PAGE_ITEMS)
-    return df.select(*keep, F.explode(items).alias("item")).select(
+    return df.select(*keep, F.explode(items).alias("_item")).select(
         *keep,
-        F.col("item.country.value").alias("country"),
-        F.col("item.countryiso3code").alias("code"),
-        F.col("item.date").alias("year"),
-        F.col("item.value").alias("value"),
+        F.col("_item.country.value").alias("country"),
+        F.col("_item.countryiso3code").alias("code"),
+        F.col("_item.date").alias("year"),
+        F.col("_item.value").alias("value"),
     )
 
 
@@ -47,14 +47,14 @@ def estimate_array(
     df: DataFrame, text: str, keep: Sequence[str], drop_missing: bool = False
 ) -> DataFrame:
     """``{"value": [...]}`` to one row per estimate with its bounds."""
-    item = F.explode(F.from_json(F.col(text), ESTIMATES)["value"]).alias("item")
+    item = F.explode(F.from_json(F.col(text), ESTIMATES)["value"]).alias("_item")
     rows = df.select(*keep, item).select(
         *keep,
-        F.col("item.TimeDim").alias("year"),
-        F.col("item.NumericValue").alias("value"),
-        F.col("item.Low").alias("low_ci"),
-        F.col("item.High").alias("high_ci"),
-        F.col("item.Value").alias("value_type"),
+        F.col("_item.TimeDim").alias("year"),
+        F.col("_item.NumericValue").alias("value"),
+        F.col("_item.Low").alias("low_ci"),
+        F.col("_item.High").alias("high_ci"),
+        F.col("_item.Value").alias("value_type"),
     )
     return rows.dropna(subset=["value"]) if drop_missing else rows
 
@@ -75,12 +75,12 @@ def map_series(
 
     all_days = reduce(F.array_union, [days(name) for name in axis])
     real_days = F.array_except(all_days, F.array(F.lit(MISSING_DAY)))
-    rows = df.select(*keep, by_name.alias("m"), F.explode(F.array_sort(real_days)).alias("day"))
+    rows = df.select(*keep, by_name.alias("_maps"), F.explode(F.array_sort(real_days)).alias("day"))
     return rows.select(
         *keep,
         "day",
         *[
-            F.try_element_at(F.try_element_at(F.col("m"), F.lit(name)), F.col("day")).alias(column)
+            F.try_element_at(F.try_element_at(F.col("_maps"), F.lit(name)), F.col("day")).alias(column)
             for name, column in parameters.items()
         ],
     )
@@ -94,4 +94,4 @@ def scan_report(spark: SparkSession, path: str, schema: StructType | str | None
 
 def report_section(report: DataFrame, section: str, keep: Sequence[str] = ()) -> DataFrame:
     """One row per entry of an array-of-struct section, fields as columns."""
-    return report.select(*keep, F.explode(section).alias("entry")).select(*keep, "entry.*")
+    return report.select(*keep, F.inline(section))

@@ -42,7 +42,7 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
         return None
     for c in a.columns:
         for x, y in zip(a[c], b[c], strict=True):
-            if x != y:
+            if x != y or isinstance(x, float) and isinstance(y, float) and repr(x) != repr(y):
                 return f"{c}: {x!r} ({type(x).__name__}) != {y!r} ({type(y).__name__})"
     return None
 
