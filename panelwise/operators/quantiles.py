@@ -10,7 +10,7 @@ aggregate-and-filter jobs; the filter on the interval reaches the scan.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 from typing import NamedTuple
@@ -39,16 +39,45 @@ def exact_quantiles(
     sortable: int = SORTABLE,
 ) -> dict[str, list[float | None]]:
     """Per column the quantiles with linear interpolation; None for a column without values."""
-    ends = df.agg(
+    return quantiles_within(df, profile(df, columns), probabilities, bins, sortable)
+
+
+class Profile(NamedTuple):
+    n: int
+    n_missing: int
+    mean: float | None
+    low: float | None
+    high: float | None
+
+
+def profile(df: DataFrame, columns: Sequence[str]) -> dict[str, Profile]:
+    """Counts, mean and ends per column, in one pass."""
+    row = df.agg(
         *[
-            F.struct(F.min(c).cast("double"), F.max(c).cast("double"), F.count(c)).alias(c)
+            F.struct(
+                F.count(c),
+                F.count_if(F.col(c).isNull()),
+                F.avg(c),
+                F.min(c).cast("double"),
+                F.max(c).cast("double"),
+            ).alias(c)
             for c in columns
         ]
     ).first()
+    return {c: Profile(*row[c]) for c in columns}
+
+
+def quantiles_within(
+    df: DataFrame,
+    profiles: Mapping[str, Profile],
+    probabilities: Sequence[float],
+    bins: int = BINS,
+    sortable: int = SORTABLE,
+) -> dict[str, list[float | None]]:
+    """The search of ``exact_quantiles``, starting from known ends."""
     places: dict[str, list[float]] = {}
     pending: dict[Interval, set[int]] = {}
-    for c in columns:
-        low, high, n = ends[c]
+    for c, (n, _, _, low, high) in profiles.items():
         places[c] = [p * (n - 1) for p in probabilities] if n else []
         if n:
             ranks = {f(place) for place in places[c] for f in (math.floor, math.ceil)}
@@ -69,7 +98,7 @@ def exact_quantiles(
 
     return {
         c: [interpolate(c, place) for place in places[c]] or [None] * len(probabilities)
-        for c in columns
+        for c in profiles
     }
 
 

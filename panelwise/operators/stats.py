@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwise.operators.join import attach
-from panelwise.operators.quantiles import exact_quantiles
+from panelwise.operators.quantiles import exact_quantiles, profile, quantiles_within
 
 PAIRS_PER_PASS = 200
 
@@ -56,35 +56,14 @@ def select_features(df: DataFrame, columns: Sequence[str], limit: float = 0.95)
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: n, n_missing, mean, min, quartiles and max."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
-    row = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.count_if(F.col(c).isNull()).alias("n_missing"),
-                F.avg(c).alias("mean"),
-                F.min(c).cast("double").alias("min"),
-                F.max(c).cast("double").alias("max"),
-            ).alias(c)
-            for c in columns
-        ]
+    profiles = profile(df, columns)
+    quartiles = quantiles_within(df, profiles, [0.25, 0.5, 0.75])
+    rows = [(c, p.n, p.n_missing, p.mean, p.low, *quartiles[c], p.high) for c, p in profiles.items()]
+    return df.sparkSession.createDataFrame(
+        rows,
+        "column string, n bigint, n_missing bigint, mean double, min double, "
+        "q1 double, median double, q3 double, max double",
     )
-    entries = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"{c}.n").alias("n"),
-            F.col(f"{c}.n_missing").alias("n_missing"),
-            F.col(f"{c}.mean").alias("mean"),
-            F.col(f"{c}.min").alias("min"),
-            *[
-                F.lit(q).cast("double").alias(name)
-                for name, q in zip(("q1", "median", "q3"), quartiles[c], strict=True)
-            ],
-            F.col(f"{c}.max").alias("max"),
-        )
-        for c in columns
-    ]
-    return row.select(F.inline(F.array(*entries)))
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

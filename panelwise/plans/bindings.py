@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pyspark.sql.types import StructType
+
 from panelwise.operators import aggregate, window
 from panelwise.operators.shape import unpivot
 
@@ -21,8 +23,15 @@ TABLES = (
 TIME = ("year", "month")
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
+    """A given table; its schema is read from a footer once per path."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def readings(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,13 +54,18 @@ def readings(spark: SparkSession, sf: str) -> DataFrame:
             F.month(day).alias("month"),
             F.col("l_quantity").alias("temp"),
             F.floor(F.col("l_extendedprice") / 100).cast("double").alias("precip"),
-            F.round(F.col("l_discount") * 100).alias("humidity"),
-            F.round(F.col("l_tax") * 100).alias("wind"),
+            whole_percent("l_discount").alias("humidity"),
+            whole_percent("l_tax").alias("wind"),
             F.col("l_linenumber").cast("double").alias("solar"),
         )
     )
 
 
+def whole_percent(column: str) -> Column:
+    # floor(x + 0.5): Spark's round goes through a decimal per row.
+    return F.floor(F.col(column) * 100 + 0.5).cast("double")
+
+
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.monthly(readings(spark, sf))
 
@@ -163,7 +177,7 @@ _VIEWS = {
         SELECT n_name AS city, r_name AS region, CAST(l_shipdate AS DATE) AS obs_date,
                year(l_shipdate)::INT AS year, month(l_shipdate)::INT AS month,
                l_quantity AS temp, floor(l_extendedprice / 100) AS precip,
-               round(l_discount * 100) AS humidity, round(l_tax * 100) AS wind,
+               floor(l_discount * 100 + 0.5) AS humidity, floor(l_tax * 100 + 0.5) AS wind,
                l_linenumber::DOUBLE AS solar
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",

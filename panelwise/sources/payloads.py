@@ -67,15 +67,16 @@ def map_series(
     axis: Sequence[str] = ("T2M", "PRECTOTCORR"),
 ) -> DataFrame:
     """One map per measure to one row per day of the ``axis`` measures' combined days."""
-    by_name = F.from_json(F.col(text), SERIES)["properties"]["parameter"]
+    parsed = F.from_json(F.col(text), SERIES)["properties"]["parameter"]
     no_days = F.array().cast("array<string>")
 
     def days(name: str) -> Column:
-        return F.coalesce(F.map_keys(F.try_element_at(by_name, F.lit(name))), no_days)
+        return F.coalesce(F.map_keys(F.try_element_at(F.col("_maps"), F.lit(name))), no_days)
 
     all_days = reduce(F.array_union, [days(name) for name in axis])
     real_days = F.array_except(all_days, F.array(F.lit(MISSING_DAY)))
-    rows = df.select(*keep, by_name.alias("_maps"), F.explode(F.array_sort(real_days)).alias("day"))
+    maps = df.select(*keep, parsed.alias("_maps"))
+    rows = maps.select(*keep, "_maps", F.explode(F.array_sort(real_days)).alias("day"))
     return rows.select(
         *keep,
         "day",
