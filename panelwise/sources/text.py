@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 RECORD = "_record"
+ORDINAL = "_ordinal"
 
 
 def scan_inferred(spark: SparkSession, path: str, sample: float = 1.0) -> DataFrame:
@@ -46,19 +47,24 @@ def scan_or_empty(
 def scan_lines(
     spark: SparkSession, path: str, schema: StructType, header: bool = True
 ) -> DataFrame:
-    """(schema's columns, line, is_long): every line parsed, those with too many fields marked.
+    """(schema's columns, ordinal, line, is_long): every line parsed, too long ones marked.
 
-    A short line is padded with NULL, a field that does not fit its type is NULL.
+    A short line is padded with NULL, a field that does not fit its type is NULL. The ordinal
+    orders lines as they stand in their file.
     """
-    lines = spark.read.text(path).filter(F.length("value") > 0)
+    block = F.struct("_metadata.file_path", "_metadata.file_block_start")
+    lines = spark.read.text(path).select(
+        "value", F.struct(block, F.monotonically_increasing_id()).alias(ORDINAL)
+    )
+    lines = lines.filter(F.length("value") > 0)
     if header:
         lines = lines.filter(F.col("value") != ",".join(schema.names))
     bare = F.regexp_replace("value", r'"[^"]*"', "")
     n_fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     parsed = F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE"})
     return lines.select(
-        parsed.alias("r"), F.col("value").alias(RECORD), (n_fields > len(schema)).alias("is_long")
-    ).select("r.*", RECORD, "is_long")
+        parsed.alias("r"), ORDINAL, F.col("value").alias(RECORD), (n_fields > len(schema)).alias("is_long")
+    ).select("r.*", ORDINAL, RECORD, "is_long")
 
 
 def scan_with_quarantine(
@@ -66,4 +72,4 @@ def scan_with_quarantine(
 ) -> tuple[DataFrame, DataFrame]:
     """(kept rows, quarantined lines as they were read)."""
     rows = scan_lines(spark, path, schema, header)
-    return rows.filter(~F.col("is_long")).drop(RECORD, "is_long"), rows.filter("is_long").select(RECORD)
+    return rows.filter(~F.col("is_long")).select(*schema.names), rows.filter("is_long").select(RECORD)

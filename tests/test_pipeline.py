@@ -1,0 +1,148 @@
+"""The whole way from landed feeds to saved models, against pandas on the same small files."""
+
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from panelwise.operators import models
+from panelwise.operators.models import Spec
+from panelwise.plans import pipeline, training
+from panelwise.plans.features import monthly_features
+from panelwise.plans.pipeline import Options
+from panelwise.session import new_folder
+from panelwise.sources import payloads
+
+TARGET = "incidence_per_1000"
+YEARS = range(2000, 2013)
+
+
+def indicator_lines():
+    for y in YEARS:
+        yield f"Aland,AAA,{y},{TARGET},{300 - 9 * (y - 2000) + (y % 3)}"
+        yield f"Aland,AAA,{y},population,{'None' if y == 2003 else 1000 + y}"
+        yield f"Bland,BBB,{y},{TARGET},{100 + y % 5}"
+    for y in YEARS:  # The focal country comes a second time.
+        yield f"Aland,AAA,{y},{TARGET},{500 + y}"
+    yield "Cland, Rep,CCC,2001,incidence_per_1000,5"
+    yield "Dland,2001,DDD,incidence_per_1000,5"
+
+
+def estimate_lines():
+    for y in range(2000, 2011):
+        yield f"Aland,AAA,{y},cases,{y * 10},{y * 9},{y * 11},text"
+
+
+def climate_rows():
+    rng = np.random.default_rng(4)
+    for city, base in (("north", 18.0), ("south", 25.0)):
+        for day in pd.date_range("2002-01-01", "2012-12-31", freq="5D"):
+            temp = round(base + 4 * math.sin(day.month) + rng.normal(), 1)
+            rain = round(max(0.0, rng.normal(3, 4)), 1)
+            if rng.random() < 0.02:
+                temp = -999.0
+            if rng.random() < 0.02:
+                rain = -999.0
+            yield (city, 1.5, 30.0, day.strftime("%Y%m%d"), temp, rain, 70.0, 2.0, 20.0)
+        yield (city, 1.5, 30.0, "20021399", 20.0, 1.0, 70.0, 2.0, 20.0)
+
+
+@pytest.fixture(scope="module")
+def raw(spark):
+    def land(name, header, lines):
+        path = new_folder(spark, name)
+        content = "\n".join([",".join(header.names), *lines])
+        spark.createDataFrame([(content,)], "value string").coalesce(1).write.text(path)
+        return path
+
+    return {
+        "indicators": land("ind", pipeline.INDICATOR_FEED, indicator_lines()),
+        "estimates": land("est", pipeline.ESTIMATE_FEED, estimate_lines()),
+        "climate": land("cli", pipeline.CLIMATE_FEED, (",".join(map(str, r)) for r in climate_rows())),
+    }
+
+
+@pytest.fixture(scope="module")
+def tables(spark, raw):
+    return {k: v.cache() for k, v in pipeline.process(spark, raw, Options("AAA", TARGET)).items()}
+
+
+@pytest.fixture(scope="module")
+def climate():
+    df = pd.DataFrame(climate_rows(), columns=["city", "lat", "lon", "date", "temp", "rain", "h", "w", "s"])
+    df = df[df.date != "20021399"].replace(-999.0, np.nan)
+    return df.assign(year=df.date.str[:4].astype(int), month=df.date.str[4:6].astype(int))
+
+
+def test_indicator_tables(tables):
+    wide = tables["indicators_annual"].orderBy("year").toPandas()
+    assert list(wide.year) == list(YEARS)
+    assert list(wide[TARGET]) == [300 - 9 * (y - 2000) + (y % 3) for y in YEARS]
+    assert wide.population.isna().sum() == 1
+    assert tables["regional"].count() == 2 * len(YEARS)
+    assert tables["estimates_annual"].filter("year = 2004").first().cases_low_ci == 2004 * 9
+
+
+def test_climate_tables(tables, climate):
+    want = climate.groupby(["city", "year", "month"]).agg(t=("temp", "mean"), r=("rain", "sum")).reset_index()
+    got = tables["climate_monthly"].orderBy("city", "year", "month").toPandas()
+    np.testing.assert_allclose(got.temp_mean_c, want.t)
+    np.testing.assert_allclose(got.precip_total_mm, want.r, atol=1e-9)
+    yearly = climate.groupby("year").agg(r=("rain", "sum"), d=("rain", lambda x: (x > 0.1).sum()))
+    got = tables["climate_annual"].orderBy("year").toPandas()
+    np.testing.assert_allclose(got.precip_total_mm, yearly.r / 2)
+    np.testing.assert_allclose(got.precip_days, yearly.d / 2)
+
+
+def test_features(tables, climate):
+    got = tables["features"].orderBy("year").toPandas().set_index("year")
+    y = pd.Series({y: 300 - 9 * (y - 2000) + (y % 3) for y in YEARS}, dtype=float)
+    np.testing.assert_allclose(got.incidence_lag2, y.shift(2))
+    np.testing.assert_allclose(got.incidence_change_pct, y.pct_change() * 100)
+    rain = (climate.groupby("year").rain.sum() / 2).reindex(YEARS)
+    np.testing.assert_allclose(got.precip_anomaly, rain - rain.rolling(5, min_periods=1).mean(), atol=1e-9)
+    np.testing.assert_allclose(got.precip_lag1, rain.shift(1))
+
+
+def test_other_choices(spark, raw, climate):
+    options = Options("AAA", TARGET, sentinels="drop", rainfall="pooled", merge="left", anomaly="global", duplicates="last", keep_focal_in_region=False)
+    out = pipeline.process(spark, raw, options)
+    kept = climate.dropna(subset=["temp", "rain"])
+    got = out["features"].orderBy("year").toPandas().set_index("year")
+    rain = kept.groupby("year").rain.sum()
+    np.testing.assert_allclose(got.precip_anomaly.dropna(), rain - rain.mean(), atol=1e-9)
+    assert list(got[TARGET]) == [500 + y for y in YEARS]
+    assert {r.country for r in out["regional"].collect()} == {"Bland"}
+
+
+def test_annual_training_and_scoring(spark, tables):
+    specs = {"ridge": Spec("ridge", {"alpha": 1.0}), "forest": Spec("random_forest", {"trees": 5, "depth": 3})}
+    names = ["incidence_lag1", "incidence_lag2", "temp_mean_c", "precip_total_mm", "absent"]
+    run = training.train_annual(tables["features"], TARGET, names, ["incidence_lag1"], n_test=3, specs=specs)
+    assert run.features == names[:4]
+    assert {(r.model, r.split): r.n for r in run.metrics.collect()} == {(m, s): n for m in specs for s, n in (("train", 9), ("test", 3))}
+    test_r2 = {r.model: r.r2 for r in run.metrics.filter("split = 'test'").collect()}
+    assert run.best == max(test_r2, key=test_r2.get)
+    assert run.predictions.filter(F.col("model").contains("train")).count() == 9
+    folder = new_folder(spark, "run")
+    training.save_run(run, folder)
+    report = payloads.scan_report(spark, f"{folder}/report")
+    assert report.first().best_model == run.best and payloads.report_section(report, "results").count() == 4
+    scored = models.batch_score(tables["features"], training.load_model(folder), run.features)
+    assert scored.filter("risk IS NULL OR predicted IS NULL").count() == 0
+
+
+def test_tuned_training_with_ensembles_and_forecast(spark, tables):
+    panel = tables["climate_monthly"].withColumnsRenamed({v: k for k, v in pipeline.PUBLISHED.items()})
+    rows = monthly_features(panel, "temp_mean", ["city"]).withColumn("period", F.col("year") * 12 + F.col("month"))
+    names = ["temp_mean_lag1", "temp_mean_lag12", "precip_total", "month_sin", "month_cos"]
+    grids = {"ridge": {"alpha": [1.0, 10.0]}, "random_forest": {"trees": [5], "depth": [4], "min_leaf": [3]}}
+    run = training.train_tuned(rows, "temp_mean", names, ["city"], "period", 24, grids, stack_top=2, horizon=3)
+    by_model = {r.model: r.mae for r in run.metrics.filter("split = 'test'").collect()}
+    assert set(by_model) == {"ridge", "random_forest", "weighted", "stacking"}
+    assert by_model["weighted"] <= max(by_model["ridge"], by_model["random_forest"]) + 1e-9
+    forecasts = run.forecasts.orderBy("city", "period").collect()
+    assert len(forecasts) == 6 and all(f.lower_bound <= f.predicted <= f.upper_bound for f in forecasts)
+    assert run.report().first().best_model == min(by_model, key=by_model.get)
