@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelwise.functions.derive import risk_band, split_tag
 from panelwise.operators import stats
+from panelwise.operators.quantiles import profile, quantiles_within
 from panelwise.operators.shape import union_all
 
 SEED = 42
 VECTOR = "_features"
+INPUT = "_in_"
 
 
 @dataclass(frozen=True)
@@ -103,23 +105,33 @@ def with_time_blocks(df: DataFrame, period: str, blocks: int, name: str = "block
 def preparation(
     train: DataFrame, features: Sequence[str], scaling: str = "standard", fill: str = "median"
 ) -> list:
-    """[fill and scale, assemble], fitted on ``train``."""
-    fills = stats.medians(train, features) if fill == "median" else {}
-    known = {f: 0.0 if fills.get(f) is None else float(fills[f]) for f in features}
-    filled = train.select(*features).fillna(known)
+    """[fill and scale, assemble], fitted on ``train``.
+
+    A feature that is constant there can neither be weighed nor split on and is left out; the
+    linear solver would otherwise meet a singular system and settle for an approximation.
+    """
+    profiles = profile(train, features)
+    fills = quantiles_within(train, profiles, [0.5]) if fill == "median" else {}
+    known = {f: float((fills.get(f) or [None])[0] or 0.0) for f in features}
+    varying = [
+        f
+        for f, p in profiles.items()
+        if p.n and (p.low != p.high or (p.n_missing and known[f] != p.low))
+    ] or list(features)
+    filled = train.select(*varying).fillna({f: known[f] for f in varying})
     if scaling == "standard":
-        parameters = stats.standard_parameters(filled, features)
+        parameters = stats.standard_parameters(filled, varying)
     elif scaling == "robust":
-        parameters = stats.robust_parameters(filled, features)
+        parameters = stats.robust_parameters(filled, varying)
     else:
-        parameters = {f: (0.0, 1.0) for f in features}
+        parameters = {f: (0.0, 1.0) for f in varying}
     columns = ", ".join(
-        f"(coalesce(`{f}`, {known[f]!r}D) - ({parameters[f][0]!r}D)) / ({parameters[f][1]!r}D) AS `_in_{f}`"
-        for f in features
+        f"(coalesce(`{f}`, {known[f]!r}D) - ({parameters[f][0]!r}D)) / ({parameters[f][1]!r}D) AS `{INPUT}{f}`"
+        for f in varying
     )
     return [
         SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"_in_{f}" for f in features], outputCol=VECTOR),
+        VectorAssembler(inputCols=[INPUT + f for f in varying], outputCol=VECTOR),
     ]
 
 
@@ -187,7 +199,7 @@ def predict(models: Mapping[str, PipelineModel], df: DataFrame) -> DataFrame:
         name, model = item
         output = model.stages[-1].getPredictionCol()
         scored = model.transform(frame)
-        helpers = [c for c in scored.columns if c == VECTOR or c.startswith("_in_")]
+        helpers = [c for c in scored.columns if c == VECTOR or c.startswith(INPUT)]
         return scored.drop(*helpers).withColumnRenamed(output, name)
 
     return reduce(add, models.items(), df)
@@ -221,7 +233,9 @@ def importances(spark: SparkSession, model: PipelineModel, features: Sequence[st
         else abs(fitted.coefficients.toArray())
     )
     total = float(raw.sum()) or 1.0
-    rows = [(f, float(v) / total) for f, v in zip(features, raw, strict=True)]
+    used = [c.removeprefix(INPUT) for c in model.stages[-2].getInputCols()]
+    shares = dict(zip(used, raw, strict=True))
+    rows = [(f, float(shares.get(f, 0.0)) / total) for f in features]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )

@@ -76,14 +76,18 @@ def train_annual(
     period: str = "year",
     n_test: int = 5,
     specs: Mapping[str, Spec] = ANNUAL_MODELS,
+    fill_from_all: bool = False,
 ) -> Run:
     """Fit the line-up on all but the last periods, pick the best r2, refit it on everything.
 
     Features must be half filled; anything computed from the current label does not belong in
-    ``candidates``.
+    ``candidates``. Missing inputs take medians of the training periods, or of all periods with
+    ``fill_from_all``, which lets the test periods colour the training data.
     """
     rows = landed(table.dropna(subset=[label, *required]), "training")
     features = stats.filled_columns(rows, [c for c in candidates if c in rows.columns])
+    if fill_from_all:
+        rows = stats.fill_medians(rows, features)
     first_test = _first_test(rows, period, n_test)
     train, _ = models.split_at(rows, period, first_test)
     prepared = models.preparation(train, features)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from panelwise.operators import models
 from panelwise.operators.models import Spec
-from panelwise.plans import pipeline, training
+from panelwise.plans import feeds, training
 from panelwise.plans.features import monthly_features
-from panelwise.plans.pipeline import Options
+from panelwise.plans.feeds import Options
 from panelwise.session import new_folder
 from panelwise.sources import payloads
 
@@ -58,15 +58,15 @@ def raw(spark):
         return path
 
     return {
-        "indicators": land("ind", pipeline.INDICATOR_FEED, indicator_lines()),
-        "estimates": land("est", pipeline.ESTIMATE_FEED, estimate_lines()),
-        "climate": land("cli", pipeline.CLIMATE_FEED, (",".join(map(str, r)) for r in climate_rows())),
+        "indicators": land("ind", feeds.INDICATOR_FEED, indicator_lines()),
+        "estimates": land("est", feeds.ESTIMATE_FEED, estimate_lines()),
+        "climate": land("cli", feeds.CLIMATE_FEED, (",".join(map(str, r)) for r in climate_rows())),
     }
 
 
 @pytest.fixture(scope="module")
 def tables(spark, raw):
-    return {k: v.cache() for k, v in pipeline.process(spark, raw, Options("AAA", TARGET)).items()}
+    return {k: v.cache() for k, v in feeds.process(spark, raw, Options("AAA", TARGET)).items()}
 
 
 @pytest.fixture(scope="module")
@@ -108,7 +108,7 @@ def test_features(tables, climate):
 
 def test_other_choices(spark, raw, climate):
     options = Options("AAA", TARGET, sentinels="drop", rainfall="pooled", merge="left", anomaly="global", duplicates="last", keep_focal_in_region=False)
-    out = pipeline.process(spark, raw, options)
+    out = feeds.process(spark, raw, options)
     kept = climate.dropna(subset=["temp", "rain"])
     got = out["features"].orderBy("year").toPandas().set_index("year")
     rain = kept.groupby("year").rain.sum()
@@ -135,7 +135,7 @@ def test_annual_training_and_scoring(spark, tables):
 
 
 def test_tuned_training_with_ensembles_and_forecast(spark, tables):
-    panel = tables["climate_monthly"].withColumnsRenamed({v: k for k, v in pipeline.PUBLISHED.items()})
+    panel = tables["climate_monthly"].withColumnsRenamed({v: k for k, v in feeds.PUBLISHED.items()})
     rows = monthly_features(panel, "temp_mean", ["city"]).withColumn("period", F.col("year") * 12 + F.col("month"))
     names = ["temp_mean_lag1", "temp_mean_lag12", "precip_total", "month_sin", "month_cos"]
     grids = {"ridge": {"alpha": [1.0, 10.0]}, "random_forest": {"trees": [5], "depth": [4], "min_leaf": [3]}}

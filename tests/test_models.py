@@ -39,6 +39,19 @@ def test_linear_models_equal_the_closed_form(frame, data, alpha):
     np.testing.assert_allclose(got.p, closed_form(x, y, alpha)(got[FEATURES].to_numpy()), rtol=1e-8)
 
 
+def test_constant_features_and_more_features_than_rows(spark):
+    rng = np.random.default_rng(2)
+    x = np.hstack([rng.normal(size=(9, 12)), np.full((9, 1), 630.0)])
+    y = rng.normal(size=9) * 20 + 100
+    names = [f"f{i}" for i in range(13)]
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], [*names, "y"])
+    model = models.fit(df, names, "y", Spec("ridge", {"alpha": 1.0}))
+    got = models.predict({"p": model}, df).toPandas()
+    np.testing.assert_allclose(got.p, closed_form(x[:, :12], y, 1.0)(got[names[:12]].to_numpy()), rtol=1e-9)
+    shares = {r.feature: r.importance for r in models.importances(spark, model, names).collect()}
+    assert len(shares) == 13 and shares["f12"] == 0.0 and sum(shares.values()) == pytest.approx(1.0)
+
+
 def test_missing_inputs_take_the_training_median(spark, frame, data):
     x, _, _ = data
     model = models.fit(frame, FEATURES, "y", Spec("ols"))
