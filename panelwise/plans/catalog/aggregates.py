@@ -147,10 +147,10 @@ YEARS = range(1995, 2002)
     "pivot_mean_matrix",
     "SELECT month, "
     + ", ".join(f"avg(temp_mean) FILTER (WHERE year = {y}) AS y{y}" for y in YEARS)
-    + " FROM monthly WHERE city = 'NATION_4' GROUP BY month",
+    + " FROM monthly WHERE city = 'NATION_8' GROUP BY month",
 )
 def pivot_mean_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    one_city = b.monthly(spark, sf).filter("city = 'NATION_4'")
+    one_city = b.monthly(spark, sf).filter("city = 'NATION_8'")
     return shape.pivot_mean(one_city, ["month"], "year", list(YEARS), "temp_mean", prefix="y")
 
 

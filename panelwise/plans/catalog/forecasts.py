@@ -15,12 +15,14 @@ from panelwise.session import landed
 @query(
     "seasonal_disaggregate",
     f"""SELECT country, year, t.month, value * t.share AS monthly, value AS annual
-        FROM (SELECT country, year, value - 5000000 AS value FROM indicators WHERE indicator = 'ind_1_urgent'),
+        FROM (SELECT country, year, CASE WHEN year % 2 = 0 THEN value ELSE -value END AS value FROM indicators WHERE indicator = 'ind_1_urgent'),
              (VALUES {_SHARES}) AS t(month, share) WHERE value > 0""",
 )
 def seasonal_disaggregate(spark: SparkSession, sf: str) -> DataFrame:
-    totals = incidence(spark, sf).select("city", "year", (F.col("incidence") - 5_000_000).alias("value"))
-    return forecast.seasonal_disaggregate(totals.withColumnRenamed("city", "country"), "value", ["country", "year"])
+    # Odd years get a negative value: they are not spread.
+    value = F.when(F.col("year") % 2 == 0, F.col("incidence")).otherwise(-F.col("incidence"))
+    totals = incidence(spark, sf).select(F.col("city").alias("country"), "year", value.alias("value"))
+    return forecast.seasonal_disaggregate(totals, "value", ["country", "year"])
 
 
 def forecast_base(spark: SparkSession, sf: str) -> DataFrame:

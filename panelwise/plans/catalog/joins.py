@@ -130,13 +130,15 @@ def join_focal_diff(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "anti_keys",
     """SELECT country, year, indicator, value FROM indicators i WHERE NOT EXISTS (
-         SELECT 1 FROM indicator_rows r WHERE r.country = i.country AND r.year = i.year AND r.ordinal % 97 = 0)""",
+         SELECT 1 FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name = i.country AND r_name = 'AFRICA')""",
 )
 def anti_keys(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.indicator_rows(spark, sf)
-    forbidden = rows.filter(F.col("ordinal") % 97 == 0).select("country", "year").distinct()
-    panel = rows.groupBy("country", "year", "indicator").agg(F.sum("value").alias("value"))
-    return join.drop_keys(panel, forbidden, ["country", "year"])
+    african = b.table(spark, sf, "region").filter("r_name = 'AFRICA'")
+    nations = b.table(spark, sf, "nation").join(african, F.col("n_regionkey") == F.col("r_regionkey"))
+    forbidden = nations.select(F.col("n_name").alias("country"))
+    # Dropped before the sums: no forbidden row is aggregated.
+    rows = join.drop_keys(b.indicator_rows(spark, sf), forbidden, ["country"])
+    return rows.groupBy("country", "year", "indicator").agg(F.sum("value").alias("value"))
 
 
 # --- set operations ---------------------------------------------------------------------------

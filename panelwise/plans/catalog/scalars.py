@@ -110,10 +110,10 @@ def filter_predicates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "filter_case_insensitive",
-    "SELECT city, year, month, temp_mean FROM monthly WHERE lower(city) = 'nation_4'",
+    "SELECT city, year, month, temp_mean FROM monthly WHERE lower(city) = 'nation_8'",
 )
 def filter_case_insensitive(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.monthly(spark, sf).filter(F.lower("city") == "Nation_4".lower())
+    rows = b.monthly(spark, sf).filter(F.lower("city") == "Nation_8".lower())
     return rows.select("city", "year", "month", "temp_mean")
 
 
