@@ -158,12 +158,12 @@ def union_all(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "union_fill",
-    """SELECT model, round(mae, 4) AS mae, r2 > 0 AS has_skill FROM metrics
+    """SELECT model, round(mae, 4) AS mae, CASE WHEN r2 > 0 THEN 'yes' ELSE 'no' END AS has_skill FROM metrics
        UNION ALL SELECT 'mean of all' AS model, round(avg(mae), 4) AS mae, NULL AS has_skill FROM metrics""",
 )
 def union_fill(spark: SparkSession, sf: str) -> DataFrame:
     metrics = stats.regression_metrics(b.predictions(spark, sf))
-    single = metrics.select("model", "mae", (F.col("r2") > 0).alias("has_skill"))
+    single = metrics.select("model", "mae", F.when(F.col("r2") > 0, "yes").otherwise("no").alias("has_skill"))
     pooled = single.agg(F.lit("mean of all").alias("model"), F.avg("mae").alias("mae"))
     return shape.union_all([single, pooled], fill=True).withColumn("mae", F.round("mae", 4))
 

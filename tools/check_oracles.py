@@ -23,9 +23,15 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def _plain(value):
+    if pd.isna(value):
+        return None
+    return value.item() if hasattr(value, "item") else value
+
+
 def canonical(df: pd.DataFrame) -> pd.DataFrame:
     """Columns by name, missing values as None, rows in a fixed order."""
-    columns = {c: [None if pd.isna(v) else v for v in df[c]] for c in sorted(df.columns)}
+    columns = {c: [_plain(v) for v in df[c]] for c in sorted(df.columns)}
     out = pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in columns.items()})
     order = sorted(range(len(out)), key=lambda i: [repr(v) for v in out.iloc[i]])
     return out.iloc[order].reset_index(drop=True)
