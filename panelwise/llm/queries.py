@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, token_counts
+from panelwise.llm import chat, near_vectors, token_counts
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ FROM turns GROUP BY conv_id"""
 @query
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf, "documents"), WORDS)
+
+
+@query
+def op10_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf, "embeddings"))
