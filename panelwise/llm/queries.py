@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, near_vectors, token_counts
+from panelwise.llm import chat, near_vectors, token_counts, top_k
 from panelwise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,19 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_embedding_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf, "embeddings"), is_query="vec_id % 20 = 0")
+
+
+ORACLES["op9_exact_top_k"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20"""
