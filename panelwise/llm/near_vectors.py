@@ -45,7 +45,7 @@ def fit(sample: np.ndarray, bits: int = 512, rounds: int = 30, seed: int = 7) ->
     """Learn rotations of the principal axes that bring the sample nearest to the corners of a cube."""
     unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     mean = unit.mean(axis=0)
-    axes = np.linalg.svd(unit - mean, full_matrices=True)[2].T if len(unit) > 1 else np.eye(unit.shape[1])
+    axes = np.linalg.eigh((unit - mean).T @ (unit - mean))[1]
     flat, d, random, found = (unit - mean) @ axes, unit.shape[1], np.random.default_rng(seed), []
     for _ in range(-(-bits // d)):
         turn = np.linalg.qr(random.normal(size=(d, d)))[0]
@@ -159,8 +159,8 @@ def near_vectors(
         return _alone(narrow)
     usable = narrow.withColumn("v", F.when(F.size("v") == length["d"], F.col("v")))
     classes = landed(usable.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("size")), "vectors")
-    drawn = classes.orderBy(F.xxhash64("cls", F.lit(11)), "cls").limit(sample).select("v").toPandas()
-    codes = fit(np.stack(drawn["v"].to_numpy()), bits)
+    drawn = classes.orderBy(F.xxhash64("cls", F.lit(11)), "cls").limit(sample).select("v").toArrow()["v"].combine_chunks()
+    codes = fit(drawn.flatten().to_numpy().reshape(len(drawn), -1), bits)
     keyed = classes.select("cls", "v").mapInArrow(partial(_keys, codes=codes, key_bits=key_bits), "bucket long, cls long, code binary")
     buckets = block_pairs(keyed, "bucket", "cls", block).repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
     candidate = buckets.mapInPandas(partial(_bucket_links, radius=radius), "a long, b long")

@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, near_vectors, token_counts, top_k
+from panelwise.llm import chat, near_vectors, quality, token_counts, top_k
 from panelwise.llm.common import table
+from panelwise.llm.labelled import scored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +72,10 @@ scored AS (
   FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20"""
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    voters = quality.fit(docs, table(spark, sf, "labels"))
+    return scored(docs, quality.quality_scores(docs, voters), 0.5)
