@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, near_vectors, quality, token_counts, top_k
+from panelwise.llm import chat, near_vectors, quality, token_counts, top_k, toxicity
 from panelwise.llm.common import table
 from panelwise.llm.labelled import scored
 
@@ -79,3 +79,10 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     voters = quality.fit(docs, table(spark, sf, "labels"))
     return scored(docs, quality.quality_scores(docs, voters), 0.5)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    lexicon = toxicity.fit(docs, table(spark, sf, "labels"))
+    return scored(docs, toxicity.toxicity_scores(docs, lexicon), 0.7)
