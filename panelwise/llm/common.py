@@ -45,12 +45,12 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about ``limit`` bytes of text; a longer text is a run alone."""
+def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20, rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of at most ``rows`` rows and about ``limit`` bytes of text; a longer text is a run alone."""
     if not batch.num_rows:
         return
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     run = (np.cumsum(sizes, dtype=np.int64) - 1) // limit
-    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), batch.num_rows]
+    cuts = sorted({0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), *range(0, batch.num_rows, rows), batch.num_rows})
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelwise.llm.common import landed, on_workers
-from panelwise.llm.links import Union, block_pairs, components, join_matrix
+from panelwise.llm.links import Union, block_pairs, components, join_matrix, runs, star_rows
 
 
 @dataclass(frozen=True)
@@ -109,23 +109,6 @@ def _vector_links(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator
         yield pd.DataFrame({"a": ids[some], "b": ids[some], "n": count[some]})
 
 
-def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Consecutive rows of equal keys, across batches; each run is bounded by two blocks."""
-    held: pd.DataFrame | None = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        values = rows[keys].to_numpy(np.int64)
-        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
-        starts = [0, *cuts.tolist()]
-        for a, b in zip(starts, cuts.tolist(), strict=False):
-            yield rows.iloc[a:b].reset_index(drop=True)
-        held = rows.iloc[starts[-1] :]
-    if held is not None:
-        yield held.reset_index(drop=True)
-
-
 def tiles(group: pd.DataFrame, side: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places to compare: all of one block with itself, or one block with the other; in tiles."""
     at, lo, hi = group["at"].to_numpy(), group["lo"].iat[0], group["hi"].iat[0]
@@ -135,13 +118,6 @@ def tiles(group: pd.DataFrame, side: int = 512) -> Iterator[tuple[np.ndarray, np
             yield rows[i : i + side], columns[j : j + side]
 
 
-def star_rows(union: Union, ids: np.ndarray) -> pd.DataFrame:
-    """A row (a, b) for each place that is not its set's first."""
-    tops = union.labels()
-    some = np.flatnonzero(tops != np.arange(len(tops)))
-    return pd.DataFrame({"a": ids[some], "b": ids[tops[some]]})
-
-
 def near_vectors(
     rows: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9,
     sample: int = 20_000, bits: int = 512, key_bits: int = 16, radius: int = 110, block: int = 2048,
