@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, jaccard, near_vectors, quality, token_counts, top_k, toxicity
+from panelwise.llm import chat, jaccard, near_vectors, packing, quality, token_counts, top_k, toxicity
 from panelwise.llm.common import table
 from panelwise.llm.labelled import scored
 
@@ -107,3 +107,8 @@ links AS (
 reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
 FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) USING (doc_id)"""
+
+
+@query
+def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packed(table(spark, sf, "documents"), WORDS)
