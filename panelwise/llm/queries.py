@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwise.llm import chat, jaccard, near_vectors, packing, quality, token_counts, top_k, toxicity
+from panelwise.llm import chat, encoding, jaccard, near_vectors, packing, quality, token_counts, top_k, toxicity
 from panelwise.llm.common import table
 from panelwise.llm.labelled import scored
 
@@ -112,3 +112,9 @@ FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b)
 @query
 def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.packed(table(spark, sf, "documents"), WORDS)
+
+
+@query
+def op7_bpe_encoding_decoding(spark: SparkSession, sf: str) -> DataFrame:
+    ids = encoding.encoded(table(spark, sf, "documents"), BYTES)
+    return encoding.digests(encoding.decoded(ids, BYTES))

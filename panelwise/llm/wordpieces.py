@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 
 #: Bytes of chunks handed to the library at once.
 BATCH_BYTES = 1 << 18
-#: Chunks a worker remembers before it starts anew; bounds its memory, not the result.
-REMEMBERED = 400_000
+#: Bytes of chunks and ids a worker remembers before it starts anew; bounds its memory, not the result.
+REMEMBERED = 40 << 20
 
 _open: dict[str, "ChunkEncoder"] = {}
 
@@ -30,27 +30,21 @@ def encoder(path: str) -> "ChunkEncoder":
     return _open[path]
 
 
-class ChunkEncoder:
-    def __init__(self, path: str, remembered: int = REMEMBERED):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class Chunks:
+    """What a worker remembers: chunks of text, each with its ids in one store."""
 
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        with open(path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
-        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+    def __init__(self, remembered: int = REMEMBERED):
         self.remembered = remembered
         self._forget()
 
     def _forget(self) -> None:
         self.row: dict[str, int] = {}
+        self.held = 0
         self.start, self.length, self.store = array("q"), array("q"), array("I")
 
     def _keep(self, chunk: str, ids) -> None:
         self.row[chunk] = len(self.start)
+        self.held += 60 + len(chunk) + 4 * len(ids)
         self.start.append(len(self.store))
         self.length.append(len(ids))
         self.store.extend(ids)
@@ -60,36 +54,18 @@ class ChunkEncoder:
         return self.store[self.start[r] : self.start[r] + self.length[r]]
 
     def _learn(self, chunks: list[str]) -> None:
-        """Encode unknown chunks; a trailing mark after an ASCII letter and ASCII capitals are taken off first."""
-        parts = []
-        for chunk in chunks:
-            mark = chunk[-1] if len(chunk) > 1 and chunk[-1] in ".,;:" and chunk[-2].isascii() and chunk[-2].isalpha() else ""
-            base = chunk[:-1] if mark else chunk
-            parts.append((chunk, base.lower() if base.isascii() and "<|" not in base else base, mark))
-        wanted = dict.fromkeys(x for _, base, mark in parts for x in (base, mark) if x not in self.row)
-        words, others = [], []
-        for x in wanted:
-            (words if x.isalpha() else others).append(x)
-        for some in _by_bytes(words):
-            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(some):
-                for x, a, b in zip(some, [0, *ends[:-1]], ends, strict=True):
-                    self._keep(x, array("I", ids[a:b].tobytes()))
-            else:  # a letter that normalisation splits
-                others += some
-        for some in _by_bytes(others):
-            for x, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self._keep(x, e.ids)
-        for chunk, base, mark in parts:
-            if chunk not in self.row:
-                self._keep(chunk, self._kept(base) + self._kept(mark))
+        """Keep the ids of chunks that are not known yet."""
+        raise NotImplementedError
+
+    def _split(self, texts: pa.Array) -> pa.Array:
+        """Lists of chunks whose ids in a row are the text's."""
+        raise NotImplementedError
 
     def _look_up(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Chunk bounds of each text, and each chunk's place and length in the store."""
-        if len(self.row) > self.remembered:
+        if self.held > self.remembered:
             self._forget()
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        split = self._split(texts)
         bounds = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
         chunks = coded.dictionary.to_pylist()
@@ -103,7 +79,8 @@ class ChunkEncoder:
     def counts(self, texts: pa.Array) -> np.ndarray:
         """Tokens of each text."""
         bounds, _, length = self._look_up(texts)
-        return _totals(length)[bounds[1:]] - _totals(length)[bounds[:-1]]
+        total = _totals(length)
+        return total[bounds[1:]] - total[bounds[:-1]]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row as unsigned 32-bit numbers, and the bounds of each text."""
@@ -113,6 +90,50 @@ class ChunkEncoder:
         return np.array(self.store, np.uint32)[at], total[bounds]
 
 
+class ChunkEncoder(Chunks):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        super().__init__(remembered)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
+        self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+
+    def _split(self, texts: pa.Array) -> pa.Array:
+        return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode unknown chunks; a trailing mark after an ASCII letter and ASCII capitals are taken off first."""
+        parts = []
+        for chunk in chunks:
+            mark = chunk[-1] if len(chunk) > 1 and chunk[-1] in ".,;:" and chunk[-2].isascii() and chunk[-2].isalpha() else ""
+            base = chunk[:-1] if mark else chunk
+            parts.append((chunk, base.lower() if base.isascii() and "<|" not in base else base, mark))
+        wanted = dict.fromkeys(x for _, base, mark in parts for x in (base, mark) if x not in self.row)
+        words, others = [], []
+        for x in wanted:
+            (words if x.isalpha() else others).append(x)
+        for some in _by_bytes(words):
+            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some):
+                for x, a, b in zip(some, [0, *ends[:-1]], ends, strict=True):
+                    self._keep(x, array("I", ids[a:b].tobytes()))
+            else:  # a letter that normalisation splits
+                others += some
+        for some in _by_bytes(others):
+            for x, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self._keep(x, e.ids)
+        for chunk, base, mark in parts:
+            if chunk not in self.row:
+                self._keep(chunk, self._kept(base) + self._kept(mark))
+
+
 def _totals(length: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
 
