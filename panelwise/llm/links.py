@@ -81,31 +81,51 @@ class Union:
 
 
 def join_matrix(union: Union, near: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> None:
-    """Join the places that a matrix of rows against columns marks, one join for each set and column set."""
-    r, c = np.nonzero(near)
-    if not len(r):
+    """Join the places that a matrix of rows against columns marks, by spreading the smallest place."""
+    r, c = near.any(axis=1), near.any(axis=0)
+    if not r.any():
         return
-    tops = union.labels()
-    pairs = np.unique(np.stack([tops[rows[r]], tops[columns[c]]]), axis=1)
-    for i, j in pairs.T.tolist():
-        union.join(i, j)
-
-
-def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Consecutive rows of equal keys, across batches; each run is bounded by two blocks."""
-    held: pd.DataFrame | None = None
+    near, rows, columns = near[r][:, c], rows[r], columns[c]
+    left, right = (np.array([union.find(i) for i in x.tolist()]) for x in (rows, columns))
+    while True:
+        new_left = np.minimum(left, np.where(near, right[None, :], len(union.top)).min(axis=1))
+        new_right = np.minimum(right, np.where(near, new_left[:, None], len(union.top)).min(axis=0))
+        if (new_left == left).all() and (new_right == right).all():
+            break
+        left, right = new_left, new_right
+    for place, top in (*zip(rows.tolist(), left.tolist(), strict=True), *zip(columns.tolist(), right.tolist(), strict=True)):
+        union.join(place, top)
+
+
+def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Frames of complete runs of equal keys, with the runs' starts and the end; rows arrive in order of the keys."""
+    held: list[pd.DataFrame] = []
+    last = None
     for batch in batches:
         if not len(batch):
             continue
-        rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        values = rows[keys].to_numpy(np.int64)
+        values = batch[keys].to_numpy(np.int64)
         cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
-        starts = [0, *cuts.tolist()]
-        for a, b in zip(starts, cuts.tolist(), strict=False):
+        if last is not None and (values[0] != last).any():
+            cuts = np.r_[0, cuts]
+        last = values[-1]
+        if not len(cuts):
+            held.append(batch)
+            continue
+        done = pd.concat([*held, batch.iloc[: cuts[-1]]], ignore_index=True)
+        before = len(done) - cuts[-1]
+        yield done, np.unique(np.r_[0, cuts + before])
+        held = [batch.iloc[cuts[-1] :]]
+    if held:
+        done = pd.concat(held, ignore_index=True)
+        yield done, np.array([0, len(done)])
+
+
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """One frame for each run of equal keys; each is bounded by two blocks."""
+    for rows, cuts in whole_runs(batches, keys):
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             yield rows.iloc[a:b].reset_index(drop=True)
-        held = rows.iloc[starts[-1] :]
-    if held is not None:
-        yield held.reset_index(drop=True)
 
 
 def star_rows(union: Union, ids: np.ndarray) -> pd.DataFrame:
@@ -113,3 +133,12 @@ def star_rows(union: Union, ids: np.ndarray) -> pd.DataFrame:
     tops = union.labels()
     some = np.flatnonzero(tops != np.arange(len(tops)))
     return pd.DataFrame({"a": ids[some], "b": ids[tops[some]]})
+
+
+def pair_stars(pairs: np.ndarray) -> pd.DataFrame:
+    """Star rows (a, b) that join what pairs of ids (two columns) join."""
+    ids, places = np.unique(pairs, return_inverse=True)
+    union = Union(len(ids))
+    for i, j in np.unique(places.reshape(-1, 2), axis=0).tolist():
+        union.join(i, j)
+    return star_rows(union, ids)

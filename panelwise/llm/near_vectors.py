@@ -26,7 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from panelwise.llm.common import landed, on_workers
-from panelwise.llm.links import Union, block_pairs, components, join_matrix, runs, star_rows
+from panelwise.llm.links import Union, block_pairs, components, join_matrix, pair_stars, runs, star_rows, whole_runs
+
+
+#: Rows of a bucket up to which buckets are compared together.
+FEW = 64
 
 
 @dataclass(frozen=True)
@@ -78,16 +82,31 @@ def _keys(batches: Iterator[pa.RecordBatch], codes: Codes, key_bits: int) -> Ite
 
 
 def _bucket_links(batches: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame]:
-    """Links of near codes inside buckets that arrive in order of (bucket, lo, hi)."""
-    for group in runs(batches, ["bucket", "lo", "hi"]):
-        if len(group) < 2:
-            continue
-        bits = np.unpackbits(np.frombuffer(b"".join(group["code"]), np.uint8).reshape(len(group), -1), axis=1).astype(np.float32) * 2 - 1
-        union = Union(len(group))
-        for r, c in tiles(group):
-            near = bits[r] @ bits[c].T >= bits.shape[1] - 2 * radius
-            join_matrix(union, near & (r[:, None] != c[None, :]), r, c)
-        yield star_rows(union, group["cls"].to_numpy())
+    """Links of near codes inside buckets that arrive in order of (bucket, lo, hi).
+
+    Buckets of a few rows are compared all at once, row by next row, next but one and so on; larger
+    ones, and pairs of blocks, each by matrix products.
+    """
+    for rows, cuts in whole_runs(batches, ["bucket", "lo", "hi"]):
+        size = np.diff(cuts)
+        few = (size <= FEW) & (rows["lo"].to_numpy()[cuts[:-1]] == rows["hi"].to_numpy()[cuts[:-1]])
+        codes = np.frombuffer(b"".join(rows["code"]), np.uint64).reshape(len(rows), -1)
+        cls, run = rows["cls"].to_numpy(), np.repeat(np.where(few, np.arange(len(size)), -1), size)
+        pairs = []
+        for step in range(1, int(size[few].max(initial=1))):
+            i = np.flatnonzero((run[:-step] == run[step:]) & (run[step:] >= 0))
+            i = i[np.bitwise_count(codes[i] ^ codes[i + step]).sum(axis=1) <= radius]
+            pairs.append(np.stack([cls[i], cls[i + step]], axis=1))
+        if pairs:
+            yield pair_stars(np.concatenate(pairs))
+        for a, b in zip(cuts[:-1][~few].tolist(), cuts[1:][~few].tolist(), strict=True):
+            group = rows.iloc[a:b].reset_index(drop=True)
+            bits = np.unpackbits(codes[a:b].view(np.uint8), axis=1).astype(np.float32) * 2 - 1
+            union = Union(len(group))
+            for r, c in tiles(group):
+                near = bits[r] @ bits[c].T >= bits.shape[1] - 2 * radius
+                join_matrix(union, near & (r[:, None] != c[None, :]), r, c)
+            yield star_rows(union, group["cls"].to_numpy())
 
 
 def _vector_links(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
