@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwise.llm import chat, encoding, jaccard, near_vectors, packing, quality, token_counts, top_k, toxicity
+from panelwise.llm import chat, encoding, jaccard, materialize, near_vectors, packing, quality, token_counts, top_k, toxicity
 from panelwise.llm.common import table
 from panelwise.llm.labelled import scored
 
@@ -118,3 +118,10 @@ def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 def op7_bpe_encoding_decoding(spark: SparkSession, sf: str) -> DataFrame:
     ids = encoding.encoded(table(spark, sf, "documents"), BYTES)
     return encoding.digests(encoding.decoded(ids, BYTES))
+
+
+@query
+def op6_training_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Written to shards and read back: the place, length and ids' digest of each sequence."""
+    made = materialize.materialize(table(spark, sf, "documents"), WORDS)
+    return materialize.read(spark, made).select("doc_id", "piece", "slot", "shard", "length", F.crc32("ids").alias("ids_crc32"))
