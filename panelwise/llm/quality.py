@@ -16,16 +16,14 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from panelwise.llm.common import on_workers, slices, texts_of
-from panelwise.llm.labelled import labelled_sample
+from panelwise.llm.labelled import labelled_sample, with_score
 
 SHAPES, LENGTHS = 1024, 16
 TERMS = SHAPES + LENGTHS + 1
@@ -121,15 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     return Voters(weights, base.axes, base.place(counts), rows["y"].to_numpy(np.float64))
 
 
-def _scores(batches: Iterator[pa.RecordBatch], voters: Broadcast, k: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text"):
-            score = voters.value.score(term_counts(texts_of(part.column("text"))), k)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(score)], ["doc_id", "score"])
-
-
-def quality_scores(docs: DataFrame, voters: Voters, k: int = 15, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score of each row."""
+def quality_scores(docs: DataFrame, voters: Voters, k: int = 15, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with a score of each row in a further column."""
     held = on_workers(docs.sparkSession).sparkContext.broadcast(voters)
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(partial(_scores, voters=held, k=k), "doc_id long, score double")
+    return with_score(docs, lambda texts: held.value.score(term_counts(texts), k), out, text)

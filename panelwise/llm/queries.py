@@ -78,14 +78,14 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     voters = quality.fit(docs, table(spark, sf, "labels"))
-    return scored(docs, quality.quality_scores(docs, voters), 0.5)
+    return scored(quality.quality_scores(docs.select("doc_id", "text"), voters), 0.5)
 
 
 @query
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     lexicon = toxicity.fit(docs, table(spark, sf, "labels"))
-    return scored(docs, toxicity.toxicity_scores(docs, lexicon), 0.7)
+    return scored(toxicity.toxicity_scores(docs.select("doc_id", "text"), lexicon), 0.7)
 
 
 @query

@@ -25,11 +25,10 @@ from functools import partial
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from panelwise.llm.common import on_workers
-from panelwise.llm.labelled import labelled_sample
+from panelwise.llm.labelled import labelled_sample, with_score
 
 #: Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = {
@@ -179,18 +178,26 @@ def _curve(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> tuple[float, fl
     return tuple(float(v) for v in w)
 
 
-def _scores(batches: Iterator[pa.RecordBatch], lexicon: Broadcast) -> Iterator[pa.RecordBatch]:
-    known, automaton = lexicon.value, lexicon.value.automaton()
-    for batch in batches:
-        hits, words = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
-        for i, text in enumerate(batch.column("text")):
-            text = folded(text.as_py() or "")
-            hits[i], words[i] = sum(found_in(text, automaton).values()), len(text.split())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(known.score(hits, words))], ["doc_id", "score"])
+_automata: dict[int, tuple[Lexicon, ahocorasick.Automaton | None]] = {}
+
+
+def _automaton_of(lexicon: Lexicon) -> ahocorasick.Automaton | None:
+    """The automaton of the lexicon that this worker holds, built once."""
+    if id(lexicon) not in _automata:
+        _automata.clear()
+        _automata[id(lexicon)] = lexicon, lexicon.automaton()
+    return _automata[id(lexicon)][1]
+
+
+def score_texts(lexicon: Lexicon, texts: pa.Array) -> np.ndarray:
+    automaton, hits, words = _automaton_of(lexicon), np.zeros(len(texts)), np.zeros(len(texts))
+    for i, text in enumerate(texts):
+        text = folded(text.as_py())
+        hits[i], words[i] = sum(found_in(text, automaton).values()), len(text.split())
+    return lexicon.score(hits, words)
 
 
-def toxicity_scores(docs: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score of each row."""
+def toxicity_scores(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with a score of each row in a further column."""
     held = on_workers(docs.sparkSession).sparkContext.broadcast(lexicon)
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return narrow.mapInArrow(partial(_scores, lexicon=held), "doc_id long, score double")
+    return with_score(docs, lambda texts: score_texts(held.value, texts), out, text)
