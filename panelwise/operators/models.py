@@ -310,6 +310,21 @@ class Stack:
         scored = predict(self.bases, df)
         return predict({"predicted": self.meta}, scored).drop(*self.bases)
 
+    def save(self, folder: str) -> None:
+        """The meta-model and every base below one folder; ``bases`` lists their names."""
+        for name, model in self.bases.items():
+            save_model(model, f"{folder}/bases/{name}")
+        save_model(self.meta, f"{folder}/meta")
+        spark = SparkSession.getActiveSession()
+        names = spark.createDataFrame([(n,) for n in self.bases], "name string")
+        names.coalesce(1).write.mode("overwrite").json(f"{folder}/names")
+
+    @staticmethod
+    def load(folder: str) -> Stack:
+        names = [r["name"] for r in SparkSession.getActiveSession().read.json(f"{folder}/names").collect()]
+        bases = {n: PipelineModel.load(f"{folder}/bases/{n}") for n in sorted(names)}
+        return Stack(bases, PipelineModel.load(f"{folder}/meta"))
+
 
 def stack(
     train: DataFrame,

@@ -1,10 +1,11 @@
 """Exact interpolated quantiles of whole columns without gathering a column anywhere.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here a few passes narrow
-the search instead: each counts the values of a still-open interval in equal-width bins (a few
-thousand rows cross the network, whatever the table holds) and goes on with the bins that
-contain wanted ranks, until a bin is one value or small enough to sort. The passes are
-aggregate-and-filter jobs; the filter on the interval reaches the scan.
+``percentile`` keeps every distinct value of a group in one buffer. Here each round asks
+``percentile_approx``, which combines on the map side, for values around every wanted rank, counts
+what lies below, between and above them, and goes on with the part that holds the rank. A round
+leaves a few in ``ACCURACY`` of the values whatever their distribution, and one value is always a
+part of its own, so the search ends at every size: in one round below ``ACCURACY`` values, in four
+for 10^12. Only comparisons are used, so infinities are values like others; NaN counts as missing.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from functools import reduce
 from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-BINS = 4096
-SORTABLE = 100_000
+from panelwise.session import landed
+
+ACCURACY = 10_000
 
 
 class Interval(NamedTuple):
@@ -35,11 +37,11 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    bins: int = BINS,
-    sortable: int = SORTABLE,
+    accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
     """Per column the quantiles with linear interpolation; None for a column without values."""
-    return quantiles_within(df, profile(df, columns), probabilities, bins, sortable)
+    rows = landed(df.select(*columns), "quantiles")
+    return quantiles_within(rows, profile(rows, columns), probabilities, accuracy)
 
 
 class Profile(NamedTuple):
@@ -50,16 +52,22 @@ class Profile(NamedTuple):
     high: float | None
 
 
+def known(column: str) -> Column:
+    """The values as doubles; NaN is missing."""
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def profile(df: DataFrame, columns: Sequence[str]) -> dict[str, Profile]:
     """Counts, mean and ends per column, in one pass."""
     row = df.agg(
         *[
             F.struct(
-                F.count(c),
-                F.count_if(F.col(c).isNull()),
-                F.avg(c),
-                F.min(c).cast("double"),
-                F.max(c).cast("double"),
+                F.count(known(c)),
+                F.count_if(known(c).isNull()),
+                F.avg(known(c)),
+                F.min(known(c)),
+                F.max(known(c)),
             ).alias(c)
             for c in columns
         ]
@@ -71,30 +79,27 @@ def quantiles_within(
     df: DataFrame,
     profiles: Mapping[str, Profile],
     probabilities: Sequence[float],
-    bins: int = BINS,
-    sortable: int = SORTABLE,
+    accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
-    """The search of ``exact_quantiles``, starting from known ends."""
+    """The search of ``exact_quantiles``, starting from known ends; ``df`` is gone over a few times."""
     places: dict[str, list[float]] = {}
-    pending: dict[Interval, set[int]] = {}
+    pending: dict[tuple[str, int], Interval] = {}
     for c, (n, _, _, low, high) in profiles.items():
         places[c] = [p * (n - 1) for p in probabilities] if n else []
-        if n:
-            ranks = {f(place) for place in places[c] for f in (math.floor, math.ceil)}
-            pending[Interval(c, low, high, 0, n)] = ranks
+        for rank in {f(place) for place in places[c] for f in (math.floor, math.ceil)}:
+            pending[c, rank] = Interval(c, low, high, 0, n)
 
     found: dict[tuple[str, int], float] = {}
-    while pending:
-        single = {i: r for i, r in pending.items() if i.low == i.high}
-        small = {i: r for i, r in pending.items() if i not in single and i.count <= sortable}
-        wide = {i: r for i, r in pending.items() if i not in single and i not in small}
-        found |= {(i.column, rank): i.low for i, ranks in single.items() for rank in ranks}
-        found |= _read_sorted(df, small)
-        pending = _narrow(df, wide, bins)
+    while True:
+        found |= {key: i.low for key, i in pending.items() if i.low == i.high}
+        pending = {key: i for key, i in pending.items() if i.low != i.high}
+        if not pending:
+            break
+        pending = _narrow(df, pending, accuracy)
 
     def interpolate(c: str, place: float) -> float:
         low, high = found[c, math.floor(place)], found[c, math.ceil(place)]
-        return low + (high - low) * (place - math.floor(place))
+        return low if low == high else low + (high - low) * (place - math.floor(place))
 
     return {
         c: [interpolate(c, place) for place in places[c]] or [None] * len(probabilities)
@@ -104,7 +109,7 @@ def quantiles_within(
 
 def _inside(df: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
     """(number of the interval, value) for every value inside one of the intervals."""
-    conditions = [F.col(i.column).between(i.low, i.high) for i in intervals]
+    conditions = [F.col(i.column).between(i.low, i.high) for i in intervals]  # NaN is beyond infinity
     entries = [
         F.when(hit, F.struct(F.lit(k).alias("k"), F.col(i.column).cast("double").alias("v")))
         for k, (i, hit) in enumerate(zip(intervals, conditions, strict=True))
@@ -113,59 +118,45 @@ def _inside(df: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
     return needed.select(F.inline(F.array_compact(F.array(*entries))))
 
 
-def _read_sorted(df: DataFrame, pending: dict[Interval, set[int]]) -> dict[tuple[str, int], float]:
-    """Sort the few values of each interval and read those at the wanted places."""
-    if not pending:
-        return {}
-    intervals = list(pending)
-    ranks = [sorted(pending[i]) for i in intervals]
-    wanted = F.array(*[F.array(*[F.lit(r - i.below) for r in rs]) for i, rs in zip(intervals, ranks)])
-    rows = (
-        _inside(df, intervals)
-        .groupBy("k")
-        .agg(F.array_sort(F.collect_list("v")).alias("vs"))
-        .select("k", F.transform(F.get(wanted, "k"), lambda p: F.get("vs", p)).alias("picked"))
-        .collect()
-    )
-    return {
-        (intervals[row.k].column, rank): v
-        for row in rows
-        for rank, v in zip(ranks[row.k], row.picked, strict=True)
-    }
+def _around(df: DataFrame, wanted: Sequence[tuple[int, Interval]], accuracy: int) -> list[list[float]]:
+    """Per wanted rank three values: somewhat below it, about at it, somewhat above it."""
+    picks = []
+    for k, (rank, i) in enumerate(wanted):
+        middle, reach = (rank - i.below + 0.5) / i.count, 2 / accuracy
+        shares = [max(0.0, middle - reach), middle, min(1.0, middle + reach)]
+        inside = F.when(F.col(i.column).between(i.low, i.high), F.col(i.column).cast("double"))
+        picks.append(F.percentile_approx(inside, shares, accuracy).alias(f"_{k}"))
+    needed = df.select(*{i.column for _, i in wanted})
+    reached = reduce(or_, [F.col(i.column).between(i.low, i.high) for _, i in wanted])
+    row = needed.filter(reached).agg(*picks).first()
+    return [list(row[f"_{k}"]) for k in range(len(wanted))]
 
 
 def _narrow(
-    df: DataFrame, pending: dict[Interval, set[int]], bins: int
-) -> dict[Interval, set[int]]:
-    """Replace each interval by those of its bins that hold wanted ranks."""
-    if not pending:
-        return {}
-    intervals = list(pending)
-
-    def of_interval(values: Sequence) -> Column:
-        return F.get(F.array(*values), F.col("k"))
-
-    low = of_interval([F.lit(i.low) for i in intervals])
-    high = of_interval([F.lit(i.high) for i in intervals])
-    # Halves first: the width of an interval may exceed the largest double.
-    share = (F.col("v") / 2 - low / 2) / (high / 2 - low / 2)
+    df: DataFrame, pending: Mapping[tuple[str, int], Interval], accuracy: int
+) -> dict[tuple[str, int], Interval]:
+    """Replace each interval by that of its parts (below, lower, at, upper, above) that holds the rank."""
+    keys, intervals = list(pending), list(pending.values())
+    cuts = _around(df, [(rank, i) for (_, rank), i in pending.items()], accuracy)
+
+    def cut(n: int) -> Column:
+        return F.get(F.array(*[F.lit(float(c[n])) for c in cuts]), F.col("k"))
+
+    v = F.col("v")
+    part = (
+        F.when(v == cut(1), 2).when(v < cut(0), 0).when(v < cut(1), 1).when(v <= cut(2), 3).otherwise(4)
+    )
     counted = (
         _inside(df, intervals)
-        .groupBy("k", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
+        .groupBy("k", part.alias("part"))
         .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()  # five rows for each wanted rank
     )
-    upto = F.sum("n").over(Window.partitionBy("k").orderBy("bin"))
-    wanted = of_interval(
-        [F.array(*[F.lit(r - i.below) for r in sorted(pending[i])]) for i in intervals]
-    )
-    rows = (
-        counted.withColumn("upto", upto)
-        .filter(F.exists(wanted, lambda p: (p < F.col("upto")) & (p >= F.col("upto") - F.col("n"))))
-        .collect()
-    )
-    narrowed = {}
-    for row in rows:
-        outer = intervals[row.k]
-        inner = Interval(outer.column, row.low, row.high, outer.below + row.upto - row.n, row.n)
-        narrowed[inner] = {r for r in pending[outer] if 0 <= r - inner.below < inner.count}
+    narrowed: dict[tuple[str, int], Interval] = {}
+    upto = [i.below for i in intervals]
+    for row in sorted(counted, key=lambda r: (r.k, r.part)):
+        column, rank = keys[row.k]
+        if upto[row.k] <= rank < upto[row.k] + row.n:
+            narrowed[column, rank] = Interval(column, row.low, row.high, upto[row.k], row.n)
+        upto[row.k] += row.n
     return narrowed

@@ -42,9 +42,11 @@ def pivot_bounds(
     names: Sequence[str],
     values: Sequence[str],
     ordinal: str,
+    last: bool = False,
 ) -> DataFrame:
-    """Several values per cell; columns are ``{name}_{value}``."""
-    picked = [F.min_by(v, F.when(F.col(v).isNotNull(), F.col(ordinal))).alias(v) for v in values]
+    """Several values per cell, the first (or last) known ones; columns are ``{name}_{value}``."""
+    pick = F.max_by if last else F.min_by
+    picked = [pick(v, F.when(F.col(v).isNotNull(), F.col(ordinal))).alias(v) for v in values]
     return _pivot(df, keys, name, names, *picked)
 
 

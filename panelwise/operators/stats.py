@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwise.operators.join import attach
 from panelwise.operators.quantiles import exact_quantiles, profile, quantiles_within
+from panelwise.session import landed
 
 PAIRS_PER_PASS = 200
 
@@ -56,8 +57,9 @@ def select_features(df: DataFrame, columns: Sequence[str], limit: float = 0.95)
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: n, n_missing, mean, min, quartiles and max."""
-    profiles = profile(df, columns)
-    quartiles = quantiles_within(df, profiles, [0.25, 0.5, 0.75])
+    held = landed(df.select(*columns), "summary")
+    profiles = profile(held, columns)
+    quartiles = quantiles_within(held, profiles, [0.25, 0.5, 0.75])
     rows = [(c, p.n, p.n_missing, p.mean, p.low, *quartiles[c], p.high) for c, p in profiles.items()]
     return df.sparkSession.createDataFrame(
         rows,

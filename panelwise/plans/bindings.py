@@ -66,6 +66,11 @@ def whole_percent(column: str) -> Column:
     return F.floor(F.col(column) * 100 + 0.5).cast("double")
 
 
+def names_in(df: DataFrame, column: str) -> list:
+    """The distinct values of a column that becomes a table's header, in order."""
+    return [r[0] for r in df.select(column).distinct().orderBy(column).collect()]
+
+
 def monthly(spark: SparkSession, sf: str) -> DataFrame:
     return aggregate.monthly(readings(spark, sf))
 

@@ -100,9 +100,9 @@ _GAPPY = "(SELECT country, year, indicator, ordinal, CASE WHEN ordinal % 4 != 0
     + f" FROM {_GAPPY} WHERE value IS NOT NULL GROUP BY country, year",
 )
 def pivot_first(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.pivot_first(
-        gappy_rows(spark, sf), ["country", "year"], "indicator", b.INDICATORS, "value", "ordinal"
-    )
+    rows = gappy_rows(spark, sf)
+    names = b.names_in(rows, "indicator")
+    return shape.pivot_first(rows, ["country", "year"], "indicator", names, "value", "ordinal")
 
 
 @query(
@@ -114,9 +114,9 @@ def pivot_first(spark: SparkSession, sf: str) -> DataFrame:
     + f" FROM {_GAPPY} GROUP BY country, year",
 )
 def pivot_last(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.pivot_last(
-        gappy_rows(spark, sf), ["country", "year"], "indicator", b.INDICATORS, "value", "ordinal"
-    )
+    rows = gappy_rows(spark, sf)
+    names = b.names_in(rows, "indicator")
+    return shape.pivot_last(rows, ["country", "year"], "indicator", names, "value", "ordinal")
 
 
 @query(
@@ -130,16 +130,12 @@ def pivot_last(spark: SparkSession, sf: str) -> DataFrame:
     + " FROM indicators GROUP BY country, year",
 )
 def pivot_multi_value(spark: SparkSession, sf: str) -> DataFrame:
-    return shape.pivot_bounds(
-        b.indicators(spark, sf),
-        ["country", "year"],
-        "indicator",
-        b.INDICATORS,
-        ["value", "low_ci", "high_ci"],
-        "year",
-    )
+    names = b.names_in(b.indicator_rows(spark, sf), "indicator")
+    values = ["value", "low_ci", "high_ci"]
+    return shape.pivot_bounds(b.indicators(spark, sf), ["country", "year"], "indicator", names, values, "year")
 
 
+#: The columns of the SQL twin; the query takes the years from its rows.
 YEARS = range(1995, 2002)
 
 
@@ -151,7 +147,8 @@ YEARS = range(1995, 2002)
 )
 def pivot_mean_matrix(spark: SparkSession, sf: str) -> DataFrame:
     one_city = b.monthly(spark, sf).filter("city = 'NATION_8'")
-    return shape.pivot_mean(one_city, ["month"], "year", list(YEARS), "temp_mean", prefix="y")
+    years = b.names_in(b.readings(spark, sf).filter("city = 'NATION_8'"), "year")
+    return shape.pivot_mean(one_city, ["month"], "year", years, "temp_mean", prefix="y")
 
 
 _RSQ = """SELECT model, sqrt(avg((actual - predicted) * (actual - predicted))) AS rmse,

@@ -15,6 +15,11 @@ def incidence(spark: SparkSession, sf: str, indicator: str = "ind_1_urgent", nam
     return rows.groupBy(F.col("country").alias("city"), "year").agg(F.sum("value").alias(name))
 
 
+def moved(column: str, where: str):
+    """Keys without a partner: some rows go a century ahead, none is left out."""
+    return F.when(F.expr(where), F.col(column) + 100).otherwise(F.col(column))
+
+
 def climate(spark: SparkSession, sf: str) -> DataFrame:
     return b.annual(spark, sf).select("city", "year", "precip_total", "temp_mean")
 
@@ -25,28 +30,29 @@ _INC = "(SELECT country AS city, year, value AS incidence FROM indicators WHERE
 @query(
     "join_full_outer",
     f"""SELECT city, year, incidence, low_cases, precip_total, temp_mean
-        FROM (SELECT * FROM {_INC} WHERE year >= 1996)
-        FULL OUTER JOIN (SELECT country AS city, year, value AS low_cases FROM indicators
-                         WHERE indicator = 'ind_5_low' AND year <= 2000) USING (city, year)
-        FULL OUTER JOIN (SELECT city, year, precip_total, temp_mean FROM annual WHERE year != 1998) USING (city, year)""",
+        FROM (SELECT city, CASE WHEN year < 1996 THEN year + 100 ELSE year END AS year, incidence FROM {_INC})
+        FULL OUTER JOIN (SELECT country AS city, CASE WHEN year > 2000 THEN year + 100 ELSE year END AS year, value AS low_cases
+                         FROM indicators WHERE indicator = 'ind_5_low') USING (city, year)
+        FULL OUTER JOIN (SELECT city, CASE WHEN year = 1998 THEN year + 100 ELSE year END AS year, precip_total, temp_mean
+                         FROM annual) USING (city, year)""",
 )
 def join_full_outer(spark: SparkSession, sf: str) -> DataFrame:
     on = ["city", "year"]
-    first = incidence(spark, sf).filter("year >= 1996")
-    second = incidence(spark, sf, "ind_5_low", "low_cases").filter("year <= 2000")
-    third = climate(spark, sf).filter("year != 1998")
+    first = incidence(spark, sf).withColumn("year", moved("year", "year < 1996"))
+    second = incidence(spark, sf, "ind_5_low", "low_cases").withColumn("year", moved("year", "year > 2000"))
+    third = climate(spark, sf).withColumn("year", moved("year", "year = 1998"))
     return join.merge_full(join.merge_full(first, second, on), third, on)
 
 
 @query(
     "join_left",
     f"""SELECT city, year, incidence, precip_total, temp_mean FROM {_INC}
-        LEFT JOIN (SELECT city, year, precip_total, temp_mean FROM annual WHERE year > 1996) USING (city, year)""",
+        LEFT JOIN (SELECT city, CASE WHEN year <= 1996 THEN year + 100 ELSE year END AS year, precip_total, temp_mean
+                   FROM annual) USING (city, year)""",
 )
 def join_left(spark: SparkSession, sf: str) -> DataFrame:
-    return join.merge_left(
-        incidence(spark, sf), climate(spark, sf).filter("year > 1996"), ["city", "year"]
-    )
+    right = climate(spark, sf).withColumn("year", moved("year", "year <= 1996"))
+    return join.merge_left(incidence(spark, sf), right, ["city", "year"])
 
 
 _SHARES = ", ".join(f"({m}, {s}::DOUBLE)" for m, s in enumerate(forecast.SEASON_SHARES, start=1))
@@ -58,13 +64,14 @@ _SHARES = ", ".join(f"({m}, {s}::DOUBLE)" for m, s in enumerate(forecast.SEASON_
           (SELECT year, t.month, total * t.share AS estimate
            FROM (SELECT year, sum(value) AS total FROM indicators WHERE indicator = 'ind_1_urgent' GROUP BY year),
                 (VALUES {_SHARES}) AS t(month, share))
-        LEFT JOIN (SELECT city, year, month, temp_mean FROM monthly WHERE month != 2) USING (year, month)""",
+        LEFT JOIN (SELECT city, year, CASE WHEN month = 2 THEN month + 100 ELSE month END AS month, temp_mean
+                   FROM monthly) USING (year, month)""",
 )
 def join_left_composite(spark: SparkSession, sf: str) -> DataFrame:
     rows = b.indicator_rows(spark, sf).filter(F.col("indicator") == "ind_1_urgent")
     totals = rows.groupBy("year").agg(F.sum("value").alias("total"))
     estimates = forecast.seasonal_disaggregate(totals, "total", ["year"])
-    panel = b.monthly(spark, sf).filter("month != 2").select("city", "year", "month", "temp_mean")
+    panel = b.monthly(spark, sf).select("city", "year", moved("month", "month = 2").alias("month"), "temp_mean")
     return join.merge_left(estimates, panel, ["year", "month"]).select(
         "year", "month", F.col("monthly").alias("estimate"), "city", "temp_mean"
     )
@@ -104,12 +111,12 @@ def join_semi(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "join_trends",
     """SELECT city, year, month, precip_total, temp_mean, predicted FROM
-         (SELECT city, year, month, coalesce(CASE WHEN month != 6 THEN precip_total END, 0) AS precip_total, temp_mean
-          FROM monthly WHERE year < 2001)
+         (SELECT city, CASE WHEN year >= 2001 THEN year + 100 ELSE year END AS year, month,
+                 coalesce(CASE WHEN month != 6 THEN precip_total END, 0) AS precip_total, temp_mean FROM monthly)
        FULL OUTER JOIN (SELECT city, year, month, predicted FROM predictions WHERE model = 'lag12') USING (city, year, month)""",
 )
 def join_trends(spark: SparkSession, sf: str) -> DataFrame:
-    panel = b.monthly(spark, sf).filter("year < 2001")
+    panel = b.monthly(spark, sf).withColumn("year", moved("year", "year >= 2001"))
     actuals = panel.withColumn("precip_total", F.when(F.col("month") != 6, F.col("precip_total")))
     tagged = b.predictions(spark, sf).withColumn(
         "model", F.when(F.col("model") == "lag12", "lag12").otherwise(F.concat("model", F.lit(" (train)")))
@@ -185,10 +192,10 @@ def union_tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "key_union",
-    """SELECT city, year FROM annual WHERE year < 1998
-       UNION SELECT country AS city, year FROM indicators WHERE year > 1999""",
+    """SELECT city, CASE WHEN year >= 1998 THEN year + 100 ELSE year END AS year FROM annual
+       UNION SELECT country AS city, year FROM indicators""",
 )
 def key_union(spark: SparkSession, sf: str) -> DataFrame:
-    climate_keys = b.readings(spark, sf).filter("year < 1998")
-    indicator_keys = b.indicator_rows(spark, sf).filter("year > 1999").withColumnRenamed("country", "city")
+    climate_keys = b.readings(spark, sf).withColumn("year", moved("year", "year >= 1998"))
+    indicator_keys = b.indicator_rows(spark, sf).withColumnRenamed("country", "city")
     return shape.key_union([climate_keys, indicator_keys], ["city", "year"])

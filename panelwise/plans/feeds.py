@@ -124,9 +124,12 @@ def regional(long: DataFrame, options: Options) -> DataFrame:
     )
 
 
-def wide_estimates(long: DataFrame) -> DataFrame:
+def wide_estimates(long: DataFrame, options: Options) -> DataFrame:
+    """The focal country's estimates with bounds, one row per year."""
     values = ["value", "low_ci", "high_ci"]
-    wide = shape.pivot_bounds(long, ["year"], "indicator", indicator_names(long), values, text.ORDINAL)
+    rows = long.filter(F.col("iso3") == options.focal)
+    last = options.duplicates != "first"
+    wide = shape.pivot_bounds(rows, ["year"], "indicator", indicator_names(rows), values, text.ORDINAL, last)
     return clean.normalize_names(wide)
 
 
@@ -156,7 +159,7 @@ def process(spark: SparkSession, raw: Mapping[str, str], options: Options) -> di
     yearly = aggregate.annual_per_entity if options.rainfall == "per_entity" else aggregate.annual_pooled
     parts = {
         "indicators": wide_indicators(long, options),
-        "estimates": wide_estimates(estimates),
+        "estimates": wide_estimates(estimates, options),
         "climate": yearly(readings, wet_day=options.wet_day),
     }
     by_city = aggregate.monthly(readings, ["city", "latitude", "longitude"], options.wet_day)

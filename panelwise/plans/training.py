@@ -30,10 +30,11 @@ class Run:
     stacked: Stack | None = None
     forecasts: DataFrame | None = None
 
-    def report(self) -> DataFrame:
-        """One row: best model, features, results, importances and, if any, forecasts.
+    def report(self, importances: int | None = None) -> DataFrame:
+        """One row: best model, features, results, importances and fold errors.
 
-        The lists have one entry per model, feature or year.
+        The lists have one entry per model or feature; ``importances`` may cut the longest of them.
+        Forecasts have a row for each key and period and are a table of their own.
         """
 
         def listed(df: DataFrame):
@@ -45,10 +46,15 @@ class Run:
             "n_features": F.lit(len(self.features)),
             "features": F.array(*[F.lit(f) for f in self.features]),
             "results": listed(self.metrics),
-            "feature_importance": listed(rank.top_k(self.importances, F.desc("importance"), 15, "feature")),
+            "feature_importance": listed(
+                self.importances
+                if importances is None
+                else rank.top_k(self.importances, F.desc("importance"), importances, "feature")
+            ),
         }
-        if self.forecasts is not None:
-            columns["forecasts"] = listed(self.forecasts)
+        if self.cv_errors:
+            errors = list(self.cv_errors.items())
+            columns["cv_mae"] = listed(spark.createDataFrame(errors, "model string, mae double"))
         return spark.range(1).select(*[c.alias(n) for n, c in columns.items()])
 
 
@@ -121,7 +127,8 @@ def train_tuned(
 ) -> Run:
     """Tune every kind on expanding folds, weight and stack the winners, forecast with the stack.
 
-    Weights and the choice of stack members come from fold errors, never from the test periods.
+    Weights, the stack's members and the best model come from fold errors, never from the test
+    periods, which only the metrics show; the ensembles have no fold error and stand beside it.
     """
     rows = landed(panel.dropna(subset=[label]), "training")
     features = stats.select_features(rows, [c for c in candidates if c in rows.columns])
@@ -151,7 +158,7 @@ def train_tuned(
         features=features,
         models=fitted,
         metrics=metrics,
-        best=_best(metrics, "mae"),
+        best=top[0],
         final=models.fit(rows, features, label, winners[top[0]], "robust"),
         predictions=table,
         importances=models.importances(spark, fitted[importance_of], features),
@@ -173,10 +180,20 @@ def forecast_with(
 
 
 def save_run(run: Run, folder: str) -> None:
-    """The fitted winner, its refit on all rows, predictions and report below one folder."""
+    """The fitted winner, its refit, all models, the stack, weights, tables and report below one folder."""
     models.save_model(run.models[run.best], f"{folder}/model")
     models.save_model(run.final, f"{folder}/model_final")
+    for name, model in run.models.items():
+        models.save_model(model, f"{folder}/models/{name}")
+    if run.stacked is not None:
+        run.stacked.save(f"{folder}/stack")
+    if run.cv_errors:
+        spark = run.metrics.sparkSession
+        cv = spark.createDataFrame(list(run.cv_errors.items()), "model string, mae double")
+        ensemble.inverse_error_weights(cv).write.mode("overwrite").parquet(f"{folder}/weights")
     run.predictions.write.mode("overwrite").parquet(f"{folder}/predictions")
+    if run.forecasts is not None:
+        run.forecasts.write.mode("overwrite").parquet(f"{folder}/forecasts")
     run.report().write.mode("overwrite").json(f"{folder}/report")
 
 

@@ -145,4 +145,25 @@ def test_tuned_training_with_ensembles_and_forecast(spark, tables):
     assert by_model["weighted"] <= max(by_model["ridge"], by_model["random_forest"]) + 1e-9
     forecasts = run.forecasts.orderBy("city", "period").collect()
     assert len(forecasts) == 6 and all(f.lower_bound <= f.predicted <= f.upper_bound for f in forecasts)
-    assert run.report().first().best_model == min(by_model, key=by_model.get)
+    assert run.best == run.report().first().best_model == min(run.cv_errors, key=run.cv_errors.get)
+    folder = new_folder(spark, "tuned")
+    training.save_run(run, folder)
+    stacked = models.Stack.load(f"{folder}/stack")
+    again = {(r.city, r.period): r.predicted for r in stacked.transform(rows.dropna(subset=["temp_mean"])).collect()}
+    want = {(r.city, r.period): r.predicted for r in run.stacked.transform(rows.dropna(subset=["temp_mean"])).collect()}
+    assert again == want
+    weights = {r.model: r.weight for r in spark.read.parquet(f"{folder}/weights").collect()}
+    assert set(weights) == set(grids) and sum(weights.values()) == pytest.approx(1)
+    assert spark.read.parquet(f"{folder}/forecasts").count() == 6
+
+
+@pytest.mark.parametrize(("duplicates", "factor"), [("first", 10), ("last", 20)])
+def test_estimates_are_the_focal_countrys(spark, raw, duplicates, factor):
+    lines = [f"Bland,BBB,{y},cases,999,998,1000,text" for y in YEARS]
+    lines += [f"Aland,AAA,{y},cases,{y * k},{y * k - 1},{y * k + 1},text" for k in (10, 20) for y in YEARS]
+    path = new_folder(spark, "two-countries")
+    content = "\n".join([",".join(feeds.ESTIMATE_FEED.names), *lines])
+    spark.createDataFrame([(content,)], "value string").coalesce(1).write.text(path)
+    out = feeds.process(spark, {**raw, "estimates": path}, Options("AAA", TARGET, duplicates=duplicates))
+    got = {r.year: r.cases_value for r in out["estimates_annual"].collect()}
+    assert got == {y: y * factor for y in YEARS}

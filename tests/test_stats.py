@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelwise.operators import ensemble, shape, stats
+from panelwise.operators import ensemble, quantiles, shape, stats
 from panelwise.operators.quantiles import exact_quantiles
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
@@ -17,18 +17,38 @@ def quantile_data():
         "outliers": np.concatenate([rng.normal(1e6, 1e-3, 995), [-1e300, 1e300, 0.0, -0.5]]),
         "constant": np.full(999, 2.0),
         "integers": rng.integers(0, 6, 999).astype(float),
+        "powers": 10.0 ** rng.integers(-300, 300, 999),
     }
 
 
-@pytest.mark.parametrize(("bins", "sortable"), [(4096, 100_000), (4, 10), (2, 1), (16, 0)])
-def test_quantiles_against_sorting(spark, bins, sortable):
+@pytest.mark.parametrize("accuracy", [10_000, 100, 8])
+def test_quantiles_against_sorting(spark, accuracy):
     data = quantile_data()
     df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], list(data)).repartition(5)
-    got = exact_quantiles(df, list(data), PROBABILITIES, bins, sortable)
+    got = exact_quantiles(df, list(data), PROBABILITIES, accuracy)
     for name, values in data.items():
         np.testing.assert_allclose(got[name], np.quantile(values, PROBABILITIES), rtol=1e-12)
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 8])
+def test_quantiles_with_infinities_and_nan(spark, accuracy):
+    inf, nan = float("inf"), float("nan")
+    values = [float(i) for i in range(150)] + [inf] * 30 + [-inf] * 20 + [nan] * 40
+    df = spark.createDataFrame([(v, inf, nan) for v in values], "a double, only double, none double").repartition(4)
+    got = exact_quantiles(df, ["a", "only", "none"], [0.0, 0.5, 1.0], accuracy)
+    assert got == {"a": [-inf, 79.5, inf], "only": [inf] * 3, "none": [None] * 3}
+
+
+def test_rounds_do_not_depend_on_the_distribution(spark, monkeypatch):
+    rounds, narrow = [], quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    for column in ("powers", "outliers", "uniform"):
+        df = spark.createDataFrame([(float(v),) for v in quantile_data()[column]], "v double")
+        rounds.clear()
+        exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])
+        assert len(rounds) == 1
+
+
 def test_quantiles_of_missing_and_single(rows):
     df = rows([(None, 1.0, 1), (None, None, 2)], "a double, b double, c int")
     assert exact_quantiles(df, ["a", "b", "c"], [0.5]) == {"a": [None], "b": [1.0], "c": [1.5]}
