@@ -17,8 +17,6 @@ import json
 import os
 import tempfile
 import uuid
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -38,6 +36,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Two blanks in a row, or the cut mark itself: such texts are split by the pattern, others before each blank.
 _TWO_BLANKS = r"[\s\v\x1c-\x1f\x85\p{Z}][\s\v\x1c-\x1f\x85\p{Z}]|\x01"
 LONG = 48
+#: Below it all letters are of the pattern's kind in every version of Unicode.
+_PLAIN = "\u0370"
 
 _open: dict[tuple[str, str | None], "Coder"] = {}
 
@@ -82,20 +82,25 @@ class Merges:
         at = np.searchsorted(self.keys, want).clip(0, len(self.keys) - 1)
         return np.where((self.keys[at] == want) & (left >= 0) & (right >= 0), self.rank[at], self.none)
 
-    def merged(self, words: list[bytes]) -> list[list[int]]:
-        """Exact ids of each word."""
-        out: list[list[int]] = [[] for _ in words]
+    def merged(self, words: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Exact ids of all words, some at a time: their places, ids in a row, lengths."""
         short = sorted((i for i, w in enumerate(words) if len(w) <= LONG), key=lambda i: len(words[i]))
         for a in range(0, len(short), 8192):
             some = short[a : a + 8192]
-            for i, ids in zip(some, self._together([words[i] for i in some]), strict=True):
-                out[i] = ids
+            yield some, *self._together([words[i] for i in some])
         for i, w in enumerate(words):
             if len(w) > LONG:
-                out[i] = self._alone(w)
+                ids = self._alone(w)
+                yield [i], np.array(ids, np.uint32), np.array([len(ids)])
+
+    def ids_of(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[] for _ in words]
+        for places, ids, lengths in self.merged(words):
+            for i, x in zip(places, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
+                out[i] = x.tolist()
         return out
 
-    def _together(self, words: list[bytes]) -> Iterator[list[int]]:
+    def _together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All words at once: each round merges the first pair of lowest rank in every word that has one."""
         length = np.array([len(w) for w in words])
         width = int(length.max()) + 1
@@ -123,8 +128,8 @@ class Merges:
             before = at > 0
             moved[n[before], at[before] - 1] = self.ranks(row[n[before], at[before] - 1], row[n[before], at[before]])
             rank[live] = moved
-        for row in ids:
-            yield row[row >= 0].tolist()
+        left = ids >= 0
+        return ids[left].astype(np.uint32), left.sum(axis=1)
 
     def _alone(self, word: bytes) -> list[int]:
         """A long word with a heap of its pairs and links between what is left."""
@@ -161,18 +166,20 @@ class Coder(Chunks):
         self.lexicon = None if lexicon is None else automaton.mapped(lexicon)
         self.words_of = regex.compile(PATTERN).findall
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.merges.special)) + ")").split if self.merges.special else None
-        self.words: dict[str, array] = {}
-        self.words_held = 0
 
     def pieces(self, text: str) -> list[str]:
         """Words and special strings in order."""
+        if (text.isalpha() or text[:1] == " " and text[1:].isalpha()) and (text.isascii() or max(text) < _PLAIN):
+            return [text]
         if self.cut is None or not any(s in text for s in self.merges.special):
             return self.words_of(text)
         return [w for part in self.cut(text) for w in ([part] if part in self.merges.special else self.words_of(part))]
 
     def _split(self, texts: pa.Array) -> pa.Array:
+        """Cut before and after line breaks, before blanks, and between a letter and a mark: words end there."""
         odd = pc.match_substring_regex(texts, _TWO_BLANKS)
-        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\x01 "), "\n", "\x01\n")
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\x01 "), "\n", "\x01\n\x01")
+        marked = pc.replace_substring_regex(marked, r"(\pL)([.,])", "\\1\x01\\2")
         split = pc.split_pattern(pc.if_else(odd, "", marked), "\x01")
         if not pc.any(odd).as_py():
             return split
@@ -181,31 +188,26 @@ class Coder(Chunks):
 
     def _learn(self, chunks: list[str]) -> None:
         parts = [self.pieces(c) for c in chunks]
-        if self.words_held > self.remembered:
-            self.words, self.words_held = {}, 0
-        unknown = list(dict.fromkeys(w for p in parts for w in p if w not in self.words))
-        for w, ids in zip(unknown, self.of_words(unknown), strict=True):
-            self.words[w] = array("I", ids)
-            self.words_held += 100 + len(w)
-        for chunk, p in zip(chunks, parts, strict=True):
-            ids = array("I")
-            for w in p:
-                ids += self.words[w]
-            self._keep(chunk, ids)
-
-    def of_words(self, words: list[str]) -> list[list[int]]:
-        special = self.merges.special
-        raw = [w.encode() for w in words]
-        out: list[list[int] | None] = [[special[w]] if w in special else None for w in words]
-        if self.lexicon is not None:
+        words = list(dict.fromkeys(w for p in parts for w in p if w not in self.row))
+        raw, special = [w.encode() for w in words], self.merges.special
+        rest = np.ones(len(words), bool)
+        for i, w in enumerate(words):
+            if w[0] == "<" and w in special:
+                self._keep([w], np.array([special[w]]), np.array([1]))
+                rest[i] = False
+        if self.lexicon is not None and words:
             bounds, ids = self.lexicon["bounds"], self.lexicon["ids"]
-            for i, n in enumerate(automaton.numbers(self.lexicon, raw).tolist()):
-                if n >= 0 and out[i] is None:
-                    out[i] = ids[bounds[n] : bounds[n + 1]].tolist()
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, ids in zip(rest, self.merges.merged([raw[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+            number = automaton.numbers(self.lexicon, raw)
+            there = np.flatnonzero(rest & (number >= 0))
+            first, length = bounds[number[there]], bounds[number[there] + 1] - bounds[number[there]]
+            at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            self._keep([words[i] for i in there.tolist()], ids[at], length)
+            rest[there] = False
+        left = np.flatnonzero(rest).tolist()
+        for places, ids, lengths in self.merges.merged([raw[i] for i in left]):
+            self._keep([words[left[i]] for i in places], ids, lengths)
+        more = [(c, p) for c, p in zip(chunks, parts, strict=True) if c not in self.row]
+        self._keep_joined([c for c, _ in more], [p for _, p in more])
 
     def decoded(self, ids: np.ndarray) -> str:
         return b"".join(map(self.merges.text.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -223,14 +225,17 @@ def _counted(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.
     """Words of each run with their number."""
     known = coder(vocabulary)
     for batch in batches:
-        for part in slices(batch, "text", 16 << 20):
+        for part in slices(batch, "text", 8 << 20):
             coded = known._split(texts_of(part.column("text"))).flatten().dictionary_encode()
-            times, count = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary)), Counter()
+            times, count = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary)), {}
             for chunk, n in zip(coded.dictionary.to_pylist(), times.tolist(), strict=True):
-                for w in known.pieces(chunk):
-                    count[w] += n
-            words = list(count)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([count[w] for w in words], pa.int64())], ["word", "n"])
+                words = known.pieces(chunk)
+                if len(words) == 1 and words[0] is chunk:
+                    count[chunk] = count.get(chunk, 0) + n
+                else:
+                    for w in words:
+                        count[w] = count.get(w, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array(count.keys(), pa.string()), pa.array(count.values(), pa.int64())], ["word", "n"])
 
 
 def lexicon(docs: DataFrame, vocabulary: str, frequent: int = 16_384, longest: int = 64) -> str:
@@ -242,7 +247,7 @@ def lexicon(docs: DataFrame, vocabulary: str, frequent: int = 16_384, longest: i
     merges = Merges(vocabulary)
     top = [w for w in top if w and w not in merges.special]
     raw = [w.encode() for w in top]
-    arrays = automaton.compile_words(dict(zip(raw, merges.merged(raw), strict=True)))
+    arrays = automaton.compile_words(dict(zip(raw, merges.ids_of(raw), strict=True)))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     with tempfile.TemporaryDirectory(prefix="lexicon-", delete=False) as folder:
         automaton.save(arrays, os.path.join(folder, name))

@@ -42,16 +42,30 @@ class Chunks:
         self.held = 0
         self.start, self.length, self.store = array("q"), array("q"), array("I")
 
-    def _keep(self, chunk: str, ids) -> None:
-        self.row[chunk] = len(self.start)
-        self.held += 60 + len(chunk) + 4 * len(ids)
-        self.start.append(len(self.store))
-        self.length.append(len(ids))
-        self.store.extend(ids)
-
-    def _kept(self, chunk: str) -> array:
-        r = self.row[chunk]
-        return self.store[self.start[r] : self.start[r] + self.length[r]]
+    def _keep(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Add chunks, their ids in a row."""
+        at = len(self.start)
+        self.row.update(zip(chunks, range(at, at + len(chunks)), strict=True))
+        lengths = np.asarray(lengths, np.int64)
+        self.start.frombytes((len(self.store) + np.cumsum(lengths) - lengths).tobytes())
+        self.length.frombytes(lengths.tobytes())
+        self.store.frombytes(np.asarray(ids, np.uint32).tobytes())
+        self.held += 120 * len(chunks) + 4 * len(ids) + sum(map(len, chunks))
+
+    def _keep_joined(self, chunks: list[str], parts: list[list[str]]) -> None:
+        """Add chunks that are known parts in a row; a chunk of one part shares its ids."""
+        for chunk, p in zip(chunks, parts, strict=True):
+            if len(p) == 1:
+                self.row[chunk] = self.row[p[0]]
+        several = [n for n, p in enumerate(parts) if len(p) != 1]
+        if not several:
+            return
+        rows = np.array([self.row[x] for n in several for x in parts[n]], np.int64)
+        start, length = np.array(self.start, np.int64)[rows], np.array(self.length, np.int64)[rows]
+        total = _totals(length)
+        at = np.repeat(start - total[:-1], length) + np.arange(total[-1])
+        bounds = total[_totals(np.array([len(parts[n]) for n in several]))]
+        self._keep([chunks[n] for n in several], np.array(self.store, np.uint32)[at], np.diff(bounds))
 
     def _learn(self, chunks: list[str]) -> None:
         """Keep the ids of chunks that are not known yet."""
@@ -122,16 +136,14 @@ class ChunkEncoder(Chunks):
             ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
             if len(ends) == len(some):
-                for x, a, b in zip(some, [0, *ends[:-1]], ends, strict=True):
-                    self._keep(x, array("I", ids[a:b].tobytes()))
+                self._keep(some, ids, np.diff(ends, prepend=0))
             else:  # a letter that normalisation splits
                 others += some
         for some in _by_bytes(others):
-            for x, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self._keep(x, e.ids)
-        for chunk, base, mark in parts:
-            if chunk not in self.row:
-                self._keep(chunk, self._kept(base) + self._kept(mark))
+            made = [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+            self._keep(some, np.array([i for ids in made for i in ids], np.uint32), np.array([len(ids) for ids in made]))
+        rest = [(chunk, [base, mark] if mark else [base]) for chunk, base, mark in parts if chunk not in self.row]
+        self._keep_joined([chunk for chunk, _ in rest], [p for _, p in rest])
 
 
 def _totals(length: np.ndarray) -> np.ndarray:
