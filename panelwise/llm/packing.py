@@ -126,10 +126,12 @@ def rounded(count: np.ndarray, size: int, use: dict[tuple[int, ...], float], bou
             left[kinds] -= n * times
             patterns.append(pattern)
             copies.append(n)
-    for pattern, n in best_fit(left, size):
-        patterns.append(pattern)
-        copies.append(n)
-    return Plan(patterns, copies, bound)
+    rest = list(best_fit(left, size))
+    alone = list(best_fit(count, size))
+    # Rounding down nothing at all is a rounding too: where lengths leave no ties, it may be the better one.
+    if sum(n for _, n in alone) < sum(copies) + sum(n for _, n in rest):
+        return Plan([p for p, _ in alone], [n for _, n in alone], bound)
+    return Plan(patterns + [p for p, _ in rest], copies + [n for _, n in rest], bound)
 
 
 def best_fit(left: np.ndarray, size: int) -> Iterator[tuple[tuple[int, ...], int]]:
@@ -192,9 +194,9 @@ def packed(docs: DataFrame, vocabulary: str, size: int = 4096, end: int = 1, key
     count = np.zeros(size + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():
         count[r["length"]] = r["count"]
-    plan = rounded(count, size, *fractional(count, size))
-    if not plan.patterns:
+    if not count.any():
         return spark.createDataFrame([], "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    plan = rounded(count, size, *fractional(count, size))
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(4 * partitions(spark))).cast("int"))
     order = Window.partitionBy("length").orderBy("salt")
     before = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select("length", "salt", (F.sum("n").over(order) - F.col("n")).alias("before"))
