@@ -67,14 +67,15 @@ def forecast_interval(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "prediction_interval",
-    """WITH p AS (SELECT city, year, month, predicted FROM predictions WHERE month != 7 OR model = 'lag12'),
-            s AS (SELECT city, year, month, avg(predicted) AS m, stddev_pop(predicted) AS d, count(*) AS n FROM p GROUP BY ALL),
+    """WITH p AS (SELECT city, year, month, CASE WHEN month != 7 OR model = 'lag12' THEN predicted END AS predicted FROM predictions),
+            s AS (SELECT city, year, month, avg(predicted) AS m, stddev_pop(predicted) AS d, count(predicted) AS n FROM p GROUP BY ALL),
             w AS (SELECT *, CASE WHEN n > 1 THEN d * 1.959964 ELSE abs(m) * 0.1::DOUBLE * 1.96::DOUBLE END AS width FROM s)
        SELECT city, year, month, round(m, 4) AS predicted, round(m - width, 4) AS lower, round(m + width, 4) AS upper,
               n AS n_estimators FROM w""",
 )
 def prediction_interval(spark: SparkSession, sf: str) -> DataFrame:
-    estimates = b.predictions(spark, sf).filter("month != 7 OR model = 'lag12'")
+    some = F.when(F.expr("month != 7 OR model = 'lag12'"), F.col("predicted"))
+    estimates = b.predictions(spark, sf).withColumn("predicted", some)
     out = forecast.prediction_interval(estimates, ["city", "year", "month"])
     return out.withColumns({c: F.round(c, 4) for c in ("predicted", "lower", "upper")})
 

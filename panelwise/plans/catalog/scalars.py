@@ -141,16 +141,20 @@ def project_rename(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_TITLES = {i: i.split("_", 2)[2].replace("_", " ").title() + " Cases (Total)" for i in b.INDICATORS}
+_NORMAL = {i: t.lower().replace(" ", "_").replace("(", "").replace(")", "") for i, t in _TITLES.items()}
+
+
 @query(
     "normalize_column_names",
-    """SELECT country, year, sum(value) FILTER (WHERE indicator = 'ind_1_urgent') AS urgent_cases_total,
-              sum(value) FILTER (WHERE indicator = 'ind_5_low') AS low_cases_total
-       FROM indicators GROUP BY country, year""",
+    "SELECT country, year, "
+    + ", ".join(f"sum(value) FILTER (WHERE indicator = '{i}') AS {n}" for i, n in _NORMAL.items())
+    + " FROM indicators GROUP BY country, year",
 )
 def normalize_column_names(spark: SparkSession, sf: str) -> DataFrame:
-    names = {"ind_1_urgent": "Urgent Cases (Total)", "ind_5_low": "Low Cases (Total)"}
-    named = b.indicator_rows(spark, sf).withColumn("indicator", derive.recode(F.col("indicator"), names))
-    wide = named.groupBy("country", "year").pivot("indicator", list(names.values())).agg(F.sum("value"))
+    named = b.indicator_rows(spark, sf).withColumn("indicator", derive.recode(F.col("indicator"), _TITLES))
+    names = b.names_in(named, "indicator")
+    wide = named.groupBy("country", "year").pivot("indicator", names).agg(F.sum("value"))
     return clean.normalize_names(wide)
 
 
