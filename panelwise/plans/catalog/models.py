@@ -162,13 +162,12 @@ def model_gbt(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("model_boosted_alt")
 def model_boosted_alt(spark: SparkSession, sf: str) -> DataFrame:
-    # Fewer rounds than the 200 of the line-up: each round is a handful of jobs.
-    return tree_metrics(spark, sf, "boosted_alt", Spec("boosted_alt", {"iterations": 40, "depth": 4, "rate": 0.1}))
+    return tree_metrics(spark, sf, "boosted_alt", models.ANNUAL_MODELS["boosted_alt"])
 
 
 @query("model_extra_trees")
 def model_extra_trees(spark: SparkSession, sf: str) -> DataFrame:
-    return tree_metrics(spark, sf, "extra_trees", Spec("extra_trees", {"trees": 100, "depth": 5}))
+    return tree_metrics(spark, sf, "extra_trees", Spec("extra_trees", {"trees": 100, "depth": 30}))
 
 
 @query("ts_cv_grid")
