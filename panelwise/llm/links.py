@@ -17,22 +17,27 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star and small-star steps: each hangs neighbours onto the smallest node seen, with
     aggregates that combine before the shuffle, so a node with very many links is no burden. Each
     round is written to the shared folder, which cuts the lineage; rounds grow with the logarithm of
-    the longest path.
+    the longest path, and links that are stars already need none.
     """
     x, y = F.col(a).cast("long"), F.col(b).cast("long")
     edges = links.where(x != y).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct()
-    edges, before = landed(edges, "links"), None
-    while True:
-        state = edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
-        if state == before or not state[0]:
-            return stars(edges)
-        before = state
+    edges = landed(edges, "links")
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = landed(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "links")
+    return stars(edges)
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs onto one centre at most, and centres onto none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return nodes.agg(F.count_if(F.expr("up > 1 OR up > 0 AND down > 0"))).first()[0] == 0
 
 
 def stars(edges: DataFrame) -> DataFrame:
