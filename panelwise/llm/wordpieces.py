@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 #: Bytes of chunks handed to the library at once.
 BATCH_BYTES = 1 << 18
+#: Bytes of plain words that make one text of such a batch.
+LINE_BYTES = 1 << 10
 #: Bytes of chunks and ids a worker remembers before it starts anew; bounds its memory, not the result.
 REMEMBERED = 40 << 20
 
@@ -132,13 +134,16 @@ class ChunkEncoder(Chunks):
         words, others = [], []
         for x in wanted:
             (words if x.isalpha() else others).append(x)
-        for some in _by_bytes(words):
-            ids = np.array(self.library.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(some):
-                self._keep(some, ids, np.diff(ends, prepend=0))
-            else:  # a letter that normalisation splits
-                others += some
+        lines = list(_by_bytes(words, LINE_BYTES))
+        for batch in _by_bytes([" ".join(line) for line in lines]):
+            some, lines = lines[: len(batch)], lines[len(batch) :]
+            for line, e in zip(some, self.library.encode_batch_fast(batch, add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, np.uint32)
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) == len(line):
+                    self._keep(line, ids, np.diff(ends, prepend=0))
+                else:  # a letter that normalisation splits
+                    others += line
         for some in _by_bytes(others):
             made = [e.ids for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
             self._keep(some, np.array([i for ids in made for i in ids], np.uint32), np.array([len(ids) for ids in made]))
