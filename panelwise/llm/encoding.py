@@ -286,6 +286,19 @@ def decoded(rows: DataFrame, vocabulary: str) -> DataFrame:
     return rows.select("doc_id", "ids").mapInArrow(partial(_read, vocabulary=vocabulary), "doc_id long, ids binary, text string")
 
 
+def _both_ways(batches: Iterator[pa.RecordBatch], vocabulary: str, name: str) -> Iterator[pa.RecordBatch]:
+    for batch in _coded(batches, vocabulary, name):
+        texts = [coder(vocabulary, name).decoded(np.frombuffer(x.as_buffer(), "<u4")) if len(x.as_buffer()) else "" for x in batch.column("ids")]
+        yield batch.append_column("text", pa.array(texts, pa.string()))
+
+
+def round_trip(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", frequent: int = 16_384) -> DataFrame:
+    """``decoded(encoded(docs))`` in one worker a task: doc_id, ids and the text that they say."""
+    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    name = lexicon(narrow, vocabulary, frequent)
+    return narrow.mapInArrow(partial(_both_ways, vocabulary=vocabulary, name=name), "doc_id long, ids binary, text string")
+
+
 def digests(rows: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
     return rows.select(

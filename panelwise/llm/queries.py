@@ -116,8 +116,7 @@ def op4_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op7_bpe_encoding_decoding(spark: SparkSession, sf: str) -> DataFrame:
-    ids = encoding.encoded(table(spark, sf, "documents"), BYTES)
-    return encoding.digests(encoding.decoded(ids, BYTES))
+    return encoding.digests(encoding.round_trip(table(spark, sf, "documents"), BYTES))
 
 
 @query

@@ -25,6 +25,8 @@ def test_bpe_round_trip_and_library(spark):
         said = t.decode(ids.tolist(), skip_special_tokens=False)
         want.append((i, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(said.encode()).hexdigest()))
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    once = encoding.digests(encoding.round_trip(frame(spark, rows), BYTES, frequent=40)).collect()
+    assert sorted(map(tuple, once), key=repr) == sorted(want, key=repr)
     assert encoding.encoded(frame(spark, []), BYTES).count() == 0
 
 
