@@ -168,7 +168,7 @@ class Shards:
     stride: int
 
 
-def materialize(docs: DataFrame, vocabulary: str, path: str | None = None, stride: int = 256, rows: int = 65_536, seed: int = 17, key: str = "doc_id", text: str = "text") -> Shards:
+def materialize(docs: DataFrame, vocabulary: str, path: str | None = None, stride: int = 256, rows: int = 16_384, seed: int = 17, key: str = "doc_id", text: str = "text") -> Shards:
     """Write the shards below ``path`` (a new folder in the shared one by default)."""
     spark = on_workers(docs.sparkSession)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
