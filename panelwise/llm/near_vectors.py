@@ -4,8 +4,12 @@
 2. Rotations that spread the variance evenly over the bits are learnt on a bounded sample (the
    ``sample`` rows of smallest hash); every class gets a code of ``64 * rotations`` bits.
 3. The code is cut into keys of ``key_bits``; classes that share any key meet in that key's bucket,
-   where pairs beyond ``radius`` differing bits are set aside. Two codes that differ in fewer bits
-   than there are keys always meet. What is left joins classes into candidate groups.
+   where pairs beyond a radius of differing bits are set aside. What is left joins classes into
+   candidate groups. Radius and keys are measured, not given: vectors that took no part in the fit
+   are turned to a cosine of exactly the threshold, evenly and along differences of the data. The
+   radius lies four deviations beyond their mean distance; keys of other bits are added, and shortened
+   where ``tables`` keys do not do, until both kinds of pairs meet with a share of ``recall``. At no bits at
+   all everything meets everything.
 4. Inside a candidate group, and only there, cosines of the original vectors are computed in double
    precision, block by block; each pair is met once, so links can be counted without listing them.
 
@@ -35,7 +39,7 @@ FEW = 64
 
 @dataclass(frozen=True)
 class Codes:
-    """A fitted quantiser: the sample's mean and one rotation per 64 bits."""
+    """A fitted quantiser: the sample's mean and rotations, each as many bits as a vector has numbers."""
 
     mean: np.ndarray
     rotations: tuple[np.ndarray, ...]
@@ -60,21 +64,67 @@ def fit(sample: np.ndarray, bits: int = 512, rounds: int = 30, seed: int = 7) ->
     return Codes(mean, tuple(found))
 
 
-def _keys(batches: Iterator[pa.RecordBatch], codes: Codes, key_bits: int) -> Iterator[pa.RecordBatch]:
-    """A row for each key of each class: key (with the table's number), class, code."""
+def turned(probes: np.ndarray, sample: np.ndarray, cosine: float, seed: int = 13) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs at exactly ``cosine``: probes turned in any direction, and along differences of sample vectors."""
+    random = np.random.default_rng(seed)
+    a, b = (sample[random.integers(len(sample), size=len(probes))] for _ in range(2))
+    pairs = []
+    for way in (random.normal(size=probes.shape), a - b):
+        way = way - (way * probes).sum(axis=1, keepdims=True) * probes
+        size = np.linalg.norm(way, axis=1)
+        some = size > 1e-9
+        if some.any():
+            pairs.append((probes[some], cosine * probes[some] + np.sqrt(1 - cosine**2) * way[some] / size[some, None]))
+    return pairs
+
+
+def measured(codes: Codes, pairs: list[tuple[np.ndarray, np.ndarray]], key_bits: int, tables: int, recall: float, seed: int = 17) -> tuple[int, np.ndarray]:
+    """(radius, a row of bit places for each key) with which each kind of pairs is found with a share of ``recall``."""
+    apart = [codes.bits(a) != codes.bits(b) for a, b in pairs]
+    bits = sum(r.shape[1] for r in codes.rotations)
+    distances = [x.sum(axis=1) for x in apart]
+    radius = min(bits, int(np.ceil(max((x.mean() + 4 * x.std() for x in distances), default=0))))
+    for width in range(min(key_bits, bits), 0, -2):
+        random, places = np.random.default_rng(seed), []
+        met, order = [np.zeros(len(x), bool) for x in apart], np.arange(bits)
+        while len(places) < tables:
+            for key in order[: bits // width * width].reshape(-1, width):
+                places.append(key)
+                for m, x in zip(met, apart, strict=True):
+                    m |= ~x[:, key].any(axis=1)
+                whole = len(places) >= bits // width
+                if whole and all((m & (n <= radius)).mean() >= recall for m, n in zip(met, distances, strict=True)):
+                    return radius, np.array(places)
+                if len(places) >= tables:
+                    break
+            order = random.permutation(bits)
+    return radius, np.zeros((1, 0), np.int64)
+
+
+def fitted(
+    sample: np.ndarray, threshold: float = 0.9, bits: int = 512, key_bits: int = 16, tables: int = 256, recall: float = 0.95, probes: int = 1000
+) -> tuple[Codes, int, np.ndarray]:
+    """(codes, radius, places of keys): fitted on the sample but for the probes, a quarter at most, measured on those."""
+    held = min(probes, len(sample) // 4)
+    rest, unit = sample[held:], sample / np.linalg.norm(sample, axis=1, keepdims=True)
+    codes = fit(rest, bits)
+    return codes, *measured(codes, turned(unit[:held] if held else unit, unit[held:], threshold), key_bits, tables, recall)
+
+
+def _keys(batches: Iterator[pa.RecordBatch], codes: Codes, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each key of each class: key (with the table's number), class, code (whole 64-bit words)."""
+    tables, key_bits = places.shape
     for batch in batches:
         if not batch.num_rows:
             continue
         vectors = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
         bits = codes.bits(vectors)
-        tables = bits.shape[1] // key_bits
-        chunks = bits[:, : tables * key_bits].reshape(len(bits), tables, key_bits)
-        keys = (chunks @ (1 << np.arange(key_bits, dtype=np.int64))) + (np.arange(tables, dtype=np.int64) << key_bits)
-        packed = np.packbits(bits, axis=1)
+        packed = np.packbits(np.pad(bits, ((0, 0), (0, -bits.shape[1] % 64))), axis=1)
         codes_of = [x.tobytes() for x in packed]
         ids = batch.column("cls").to_numpy(zero_copy_only=False)
         for t in range(0, tables, 8):
-            some = keys[:, t : t + 8]
+            numbers = np.arange(t, min(t + 8, tables), dtype=np.int64)
+            some = (bits[:, places[numbers]] @ (1 << np.arange(key_bits, dtype=np.int64))) + (numbers << key_bits)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some.ravel()), pa.array(np.repeat(ids, some.shape[1])), pa.array(np.repeat(np.array(codes_of, object), some.shape[1]), pa.binary())],
                 ["bucket", "cls", "code"],
@@ -139,11 +189,11 @@ def tiles(group: pd.DataFrame, side: int = 512) -> Iterator[tuple[np.ndarray, np
 
 def near_vectors(
     rows: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.9,
-    sample: int = 20_000, bits: int = 512, key_bits: int = 16, radius: int = 110, block: int = 2048,
+    sample: int = 20_000, bits: int = 512, key_bits: int = 16, block: int = 2048, tables: int = 256, recall: float = 0.95, probes: int = 1000,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row; see the module for the method.
 
-    ``radius`` of 110 in 512 bits lies four deviations beyond the mean of pairs at a cosine of 0.9.
+    ``recall`` is that of pairs at exactly ``threshold``; closer ones meet more often.
     """
     spark = on_workers(rows.sparkSession)
     narrow = rows.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
@@ -155,8 +205,8 @@ def near_vectors(
     usable = narrow.withColumn("v", F.when(F.size("v") == length["d"], F.col("v")))
     classes = landed(usable.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("size")), "vectors")
     drawn = classes.orderBy(F.xxhash64("cls", F.lit(11)), "cls").limit(sample).select("v").toArrow()["v"].combine_chunks()
-    codes = fit(drawn.flatten().to_numpy().reshape(len(drawn), -1), bits)
-    keyed = classes.select("cls", "v").mapInArrow(partial(_keys, codes=codes, key_bits=key_bits), "bucket long, cls long, code binary")
+    codes, radius, places = fitted(drawn.flatten().to_numpy().reshape(len(drawn), -1), threshold, bits, key_bits, tables, recall, probes)
+    keyed = classes.select("cls", "v").mapInArrow(partial(_keys, codes=codes, places=places), "bucket long, cls long, code binary")
     buckets = block_pairs(keyed, "bucket", "cls", block).repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
     candidate = buckets.mapInPandas(partial(_bucket_links, radius=radius), "a long, b long")
     groups = components(candidate).withColumnRenamed("node", "cls")

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 
 from panelwise.llm import near_vectors, top_k
 from panelwise.llm.queries import ORACLES, QUERIES
@@ -95,3 +96,36 @@ def test_top_k_with_large_components_and_few_rows(spark):
     exact = [int(np.floor(64 * float(np.float32(x)))) for x in (1e10, 1e9, 2e10, 5.0)]
     assert got[20, 40] == min(2**63 - 1, exact[0] * exact[1] + exact[2] * exact[3])
     assert top_k.top_k(frame(spark, []), "vec_id % 20 = 0").count() == 0
+
+
+def isolated_pairs(d, shift, n=400, single=1200, seed=5, cosine=0.902):
+    """Pairs just above the threshold among rows that share a direction; mean norm is about ``shift``."""
+    draw = np.random.default_rng(seed)
+    x = draw.normal(size=(n + single, d))
+    x *= np.sqrt(1 - shift**2) / np.linalg.norm(x, axis=1, keepdims=True)
+    x[:, 0] += shift
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    way = draw.normal(size=(n, d))
+    way -= (way * x[:n]).sum(axis=1, keepdims=True) * x[:n]
+    way /= np.linalg.norm(way, axis=1, keepdims=True)
+    y = cosine * x[:n] + np.sqrt(1 - cosine**2) * way
+    return [(i, [float(z) for z in v]) for i, v in enumerate([*x, *y])]
+
+
+@pytest.mark.parametrize(("d", "shift"), [(64, 0.7), (50, 0.0), (384, 0.0), (768, 0.0)])
+def test_near_vectors_with_common_direction_and_other_widths(spark, d, shift):
+    rows = isolated_pairs(d, shift)
+    near, *_ = cosine_groups(rows)
+    got = near_vectors.near_vectors(frame(spark, rows), sample=800).toPandas()
+    assert len(got) == len(rows) and 0.9 * near.sum() < got.n_links.sum() <= near.sum()
+
+
+def test_radius_and_keys_follow_the_fitted_code():
+    x = np.array([v for _, v in isolated_pairs(64, 0.9)])
+    codes, radius, places = near_vectors.fitted(x)
+    bits = [codes.bits(v) for v in near_vectors.turned(x[:500] / np.linalg.norm(x[:500], axis=1, keepdims=True), x, 0.9)[0]]
+    apart = bits[0] != bits[1]
+    met = np.logical_or.reduce([~apart[:, k].any(axis=1) for k in places])
+    assert (met & (apart.sum(axis=1) <= radius)).mean() > 0.9
+    for few in (np.ones((1, 3)), np.eye(2), np.array([[1.0], [-1.0]])):
+        assert len(near_vectors.fitted(few)[2])
