@@ -256,33 +256,57 @@ def tune(
 ) -> list[tuple[Spec, float]]:
     """Mean fold error (MAE) of every candidate, in the order given.
 
-    The folds expand in time. Candidates are fitted side by side from a small thread pool; each
-    fit is an ordinary distributed job.
+    The folds expand in time. Each is prepared once and kept, past rows and next block apart.
+    Candidates are fitted side by side from a small thread pool; each fit is an ordinary distributed
+    job. Equal models are fitted once, whatever their kind is called, and boostings that differ in
+    their iterations only are one model: a shorter one is the longer one's beginning.
     """
     blocks = with_time_blocks(train.dropna(subset=[label]), period, folds).persist(
         StorageLevel.MEMORY_AND_DISK
     )
+    parts, kept = {}, [blocks]
+    longest: dict[tuple, int] = {}
+    for s in specs:
+        name, iterations = _same_fit(s)
+        longest[name] = max(longest.get(name, 0), iterations)
+
+    def fold_errors(task: tuple[tuple, int]) -> list[float]:
+        (kind, params), i = task
+        past, following, (n, deviation) = parts[i]
+        more = {"iterations": longest[task[0]]} if kind == "gbt" else {}
+        model = _estimator(Spec(kind, dict(params) | more), label, "predicted", n, deviation or 0.0).fit(past)
+        if kind == "gbt":
+            return model.evaluateEachIteration(following, "absolute")
+        return [model.transform(following).agg(F.avg(F.abs(F.col(label) - F.col("predicted")))).first()[0]]
+
     try:
-        prepared = {
-            i: preparation(blocks.filter(F.col("block") < i), features, scaling)
-            for i in range(1, folds + 1)
-        }
-
-        def fold_error(task: tuple[Spec, int]) -> float:
-            spec, i = task
-            past, next_block = blocks.filter(F.col("block") < i), blocks.filter(F.col("block") == i)
-            model = fit(past, features, label, spec, prepared=prepared[i])
-            error = F.avg(F.abs(F.col(label) - F.col("predicted")))
-            return model.transform(next_block).agg(error).first()[0]
-
-        tasks = [(s, i) for s in specs for i in range(1, folds + 1)]
+        for i in range(1, folds + 1):
+            past, following = blocks.filter(F.col("block") < i), blocks.filter(F.col("block") == i)
+            stages = PipelineModel(preparation(past, features, scaling))
+            wanted = [F.col(label).cast("double").alias(label), VECTOR]
+            ready = [stages.transform(x).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK) for x in (past, following)]
+            kept += ready
+            parts[i] = (*ready, ready[0].agg(F.count(label), F.stddev_pop(label)).first())
+        tasks = [(name, i) for name in longest for i in range(1, folds + 1)]
         with ThreadPool(parallelism) as pool:
-            errors = pool.map(fold_error, tasks)
+            errors = dict(zip(tasks, pool.map(fold_errors, tasks, chunksize=1), strict=True))
     finally:
-        blocks.unpersist()
-    return [
-        (s, sum(errors[k * folds : (k + 1) * folds]) / folds) for k, s in enumerate(specs)
-    ]
+        for frame in kept:
+            frame.unpersist()
+
+    def mean_error(spec: Spec) -> float:
+        name, iterations = _same_fit(spec)
+        return sum(errors[name, i][iterations - 1] for i in range(1, folds + 1)) / folds
+
+    return [(s, mean_error(s)) for s in specs]
+
+
+def _same_fit(spec: Spec) -> tuple[tuple, int]:
+    """(what candidates fitted together share, iterations); 1 for a model without iterations."""
+    if spec.kind not in ("gbt", "boosted_alt"):
+        return (spec.kind, tuple(sorted(spec.params.items()))), 1
+    rest = {k: v for k, v in spec.params.items() if k != "iterations"}
+    return ("gbt", tuple(sorted(rest.items()))), int(spec.params.get("iterations", 100))
 
 
 def tune_and_refit(

@@ -170,15 +170,17 @@ def model_extra_trees(spark: SparkSession, sf: str) -> DataFrame:
     return tree_metrics(spark, sf, "extra_trees", Spec("extra_trees", {"trees": 100, "depth": 30}))
 
 
+def tuned(frame: DataFrame) -> list[tuple[Spec, float]]:
+    """Fold error of every candidate of every kind in ``models.GRIDS``."""
+    specs = [s for kind, grid in models.GRIDS.items() for s in models.candidates(kind, grid)]
+    return models.tune(train_rows(frame), FEATURES, LABEL, "period", specs)
+
+
 @query("ts_cv_grid")
 def ts_cv_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Fold error per candidate of a shortened grid (the full one is ``models.GRIDS``)."""
-    specs = models.candidates("ridge", models.GRIDS["ridge"]) + models.candidates(
-        "random_forest", {"trees": [20], "depth": [3, 5], "min_leaf": [5]}
-    )
-    frame = train_rows(feature_panel(spark, sf)).withColumn("period", F.col("year") * 12 + F.col("month"))
-    errors = models.tune(frame, FEATURES, LABEL, "period", specs)
-    rows = [(s.kind, str(dict(s.params)), float(e)) for s, e in errors]
+    """Fold error per candidate of the full grid."""
+    frame = feature_panel(spark, sf).withColumn("period", F.col("year") * 12 + F.col("month"))
+    rows = [(s.kind, str(dict(s.params)), float(e)) for s, e in tuned(frame)]
     return spark.createDataFrame(rows, "model string, params string, cv_mae double").orderBy("cv_mae")
 
 

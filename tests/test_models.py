@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators import models
 from panelwise.operators.models import Spec
+from panelwise.plans.catalog import models as catalog
 from panelwise.session import landed, new_folder
 from panelwise.streaming import score
 
@@ -144,3 +145,26 @@ def test_requests_stream_through_the_same_scoring(spark, frame):
     batch = models.batch_score(spark.read.schema("t int, x1 double, x2 double, x3 double").json(folder), model, FEATURES)
     got = spark.read.parquet(out)
     assert got.count() == 50 and got.exceptAll(batch.select(got.columns)).count() == 0
+
+
+def test_tuning_shares_one_boosting_between_iterations_and_kinds(frame):
+    specs = models.candidates("gbt", {"iterations": [2, 5], "depth": [2], "rate": [0.3]})
+    specs += [Spec("boosted_alt", specs[0].params), Spec("ridge", {"alpha": 1.0})]
+    errors = [e for _, e in models.tune(frame, FEATURES, "y", "t", specs, scaling="none")]
+    assert errors[0] == errors[2] and len(set(errors)) == 3
+    blocks = models.with_time_blocks(frame, "t", 3)
+    for spec, error in zip(specs[:2], errors):
+        folds = []
+        for i in (1, 2, 3):
+            model = models.fit(blocks.filter(F.col("block") < i).coalesce(1), FEATURES, "y", spec, scaling="none")
+            out = models.predict({"p": model}, blocks.filter(F.col("block") == i))
+            folds.append(out.agg(F.avg(F.abs(F.col("y") - F.col("p")))).first()[0])
+        assert error == pytest.approx(np.mean(folds), rel=1e-6)
+
+
+def test_registered_grid_holds_every_candidate(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(catalog, "feature_panel", lambda spark, sf: spark.createDataFrame([(1990, 1)], "year int, month int"))
+    monkeypatch.setattr(models, "tune", lambda train, features, label, period, specs: [(s, asked.append(s) or 1.0) for s in specs])
+    assert catalog.ts_cv_grid(spark, "").count() == 30
+    assert {s.kind for s in asked} == set(models.GRIDS)
