@@ -186,13 +186,14 @@ def ts_cv_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("ensemble_stacking")
 def ensemble_stacking(spark: SparkSession, sf: str) -> DataFrame:
-    """Errors of the stack on the test years."""
+    """Errors, on the test years, of the stack of the four kinds with the smallest fold errors."""
     frame = feature_panel(spark, sf).withColumn("period", F.col("year") * 12 + F.col("month"))
-    specs = {
-        "ridge": Spec("ridge", {"alpha": 10.0}),
-        "forest": Spec("random_forest", {"trees": 20, "depth": 5, "min_leaf": 3}),
-        "ols": Spec("ols"),
-    }
+    winners: dict[str, tuple[Spec, float]] = {}
+    for spec, error in tuned(frame):
+        if spec.kind not in winners or error < winners[spec.kind][1]:
+            winners[spec.kind] = (spec, error)
+    top = sorted(winners, key=lambda kind: winners[kind][1])[:4]
+    specs = {kind: winners[kind][0] for kind in top}
     stacked = models.stack(train_rows(frame), FEATURES, LABEL, "period", specs)
     test = stacked.transform(frame.filter(F.col("year") >= FIRST_TEST))
     table = test.select(F.lit("stack").alias("model"), F.col(LABEL).alias("actual"), "predicted")

@@ -168,3 +168,20 @@ def test_registered_grid_holds_every_candidate(spark, monkeypatch):
     monkeypatch.setattr(models, "tune", lambda train, features, label, period, specs: [(s, asked.append(s) or 1.0) for s in specs])
     assert catalog.ts_cv_grid(spark, "").count() == 30
     assert {s.kind for s in asked} == set(models.GRIDS)
+
+
+def test_registered_stack_takes_the_four_best_kinds(spark, monkeypatch):
+    class Stopped(Exception):
+        pass
+
+    def stop(train, features, label, period, specs):
+        raise Stopped(specs)
+
+    grid = [s for kind, g in models.GRIDS.items() for s in models.candidates(kind, g)]
+    monkeypatch.setattr(catalog, "feature_panel", lambda spark, sf: spark.createDataFrame([(1990, 1)], "year int, month int"))
+    monkeypatch.setattr(models, "tune", lambda train, features, label, period, specs: [(s, float(30 - i)) for i, s in enumerate(specs)])
+    monkeypatch.setattr(models, "stack", stop)
+    with pytest.raises(Stopped) as e:
+        catalog.ensemble_stacking(spark, "")
+    kinds = ["boosted_alt", "extra_trees", "gbt", "random_forest"]
+    assert e.value.args[0] == {k: [s for s in grid if s.kind == k][-1] for k in kinds}
