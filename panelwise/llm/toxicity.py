@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick on folded text and normalised by length.
 
-Texts are folded: small letters, compatibility forms and homoglyphs to plain Latin, digits and marks that stand for
+Texts are folded: small letters, no accents, compatibility forms and homoglyphs to plain Latin, digits and marks that stand for
 letters to those letters, everything else to blanks. Lexicon entries are whole words and word
 beginnings whose share among toxic rows is far above that among others, weighted by the log of the
 ratio; two words in a row that hold an entry but occur in clean rows only are exceptions and cancel
@@ -41,15 +41,16 @@ STAND_INS = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 INSIDE = {"@": "a", "$": "s", "!": "i", "|": "i", "+": "t"}
 _ASCII = {c: (STAND_INS.get(chr(c), chr(c)) if chr(c).isalnum() else " ") for c in range(128)}
 _FOLD = str.maketrans({**{chr(c): v for c, v in _ASCII.items()}, **HOMOGLYPHS, **{chr(c): None for c in (0x200B, 0x200C, 0x200D, 0x00AD, 0xFEFF)}})
+_MARKS = {c: None for c in range(0x110000) if unicodedata.combining(chr(c))}
 _INSIDE = re.compile(r"(?<=[^\W_])[@$!|+](?=[^\W_])")
 STEMS = range(4, 9)
 
 
 def folded(text: str) -> str:
     """Words between single or more blanks, with one at either end."""
-    text = text.lower()
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
+        text = unicodedata.normalize("NFKD", text).translate(_MARKS)
+    text = text.lower()
     text = _INSIDE.sub(lambda m: INSIDE[m[0]], text)
     return f" {text.translate(_FOLD)} "
 

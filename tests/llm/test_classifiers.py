@@ -109,3 +109,9 @@ def test_score_column_keeps_all_others(spark):
     docs = spark.sql("SELECT 1L AS doc_id, map('k', array(1)) AS m, 'abc' AS text, timestamp'2024-01-01 00:00:00' AS at")
     row = with_score(docs, lambda t: np.array([float(len(x.as_py())) for x in t]), "s").first()
     assert row.s == 3.0 and row.m == {"k": [1]} and row.doc_id == 1
+
+
+def test_folding_of_styled_capitals_and_accents():
+    styled = "".join(chr(0x1D400 + ord(c) - ord("A")) for c in "VENOM")
+    for text in (styled, "V\u00c9N\u00d6M", "ve\u0301nom", "\uff36\uff25\uff2e\uff2f\uff2d"):
+        assert toxicity.folded(text) == toxicity.folded("venom") == " venom "
