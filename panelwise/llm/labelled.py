@@ -12,7 +12,7 @@ from panelwise.llm.common import held_out, landed, slices, texts_of
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """text, y of at most ``per_class`` rows of each label, those of smallest hash of their id.
+    """text, y of at most ``per_class`` ids of each label that ``docs`` has, those of smallest hash.
 
     Only the ids are broadcast, ``2 * per_class`` of them at most. An id with several labels counts
     with the smaller one; repeated documents of one id are all taken. The sample is written once.
@@ -20,6 +20,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     y = F.col(label).cast("int")
     known = labels.select(F.col(key).cast("long").alias("_id"), y.alias("y")).where("y IN (0, 1) AND _id IS NOT NULL").where(~held_out("_id"))
     known = known.groupBy("_id").agg(F.min("y").alias("y"))
+    present = docs.select(F.col(key).cast("long").alias("_id"))
+    known = landed(known.join(present, "_id", "left_semi"), "known-labels")
     drawn = [known.where(F.col("y") == c).orderBy(F.xxhash64("_id", F.lit(5)), "_id").limit(per_class) for c in (0, 1)]
     texts = docs.select(F.col(key).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     return landed(texts.join(F.broadcast(drawn[0].unionByName(drawn[1])), "_id").select("text", "y"), "labelled")

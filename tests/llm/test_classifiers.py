@@ -115,3 +115,10 @@ def test_folding_of_styled_capitals_and_accents():
     styled = "".join(chr(0x1D400 + ord(c) - ord("A")) for c in "VENOM")
     for text in (styled, "V\u00c9N\u00d6M", "ve\u0301nom", "\uff36\uff25\uff2e\uff2f\uff2d"):
         assert toxicity.folded(text) == toxicity.folded("venom") == " venom "
+
+
+def test_labelled_sample_draws_from_the_documents_at_hand(spark):
+    labels = spark.range(3000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS toxic")
+    docs = spark.range(2900, 3000).selectExpr("id AS doc_id", "'some text' AS text")
+    got = labelled_sample(docs, labels, "toxic", 5).groupBy("y").count().collect()
+    assert {(r.y, r["count"]) for r in got} == {(0, 5), (1, 5)}
