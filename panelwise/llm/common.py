@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from panelwise.plans.bindings import table
 from panelwise.session import landed, new_folder
 
-__all__ = ["held_out", "landed", "new_folder", "on_workers", "partitions", "slices", "table", "texts_of"]
+__all__ = ["held_out", "landed", "new_folder", "on_workers", "partitions", "slices", "table", "texts_of", "whole_groups"]
 
 
 def on_workers(spark: SparkSession) -> SparkSession:
@@ -54,3 +54,34 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20, rows: int = 1
     cuts = sorted({0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), *range(0, batch.num_rows, rows), batch.num_rows})
     for a, b in zip(cuts, cuts[1:], strict=False):
         yield batch.slice(a, b - a)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of complete runs of equal keys, with the runs' starts and the end; rows arrive in order of the keys.
+
+    Holds a batch and the last run, so runs must be bounded.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and all(batch.column(k)[0] == held[-1].column(k)[-1] for k in keys) and not len(_changes(batch, keys)):
+            held.append(batch)  # the run goes on
+            continue
+        rows = pa.Table.from_batches([*held, batch]).combine_chunks()
+        cuts = _changes(rows, keys)
+        if len(cuts):
+            yield rows.slice(0, cuts[-1]), np.r_[0, cuts]
+        held = rows.slice(cuts[-1] if len(cuts) else 0).to_batches()
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, np.array([0, len(rows)])
+
+
+def _changes(rows: pa.Table | pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """The places whose keys differ from the row before."""
+    n, differs = rows.num_rows, np.zeros(max(rows.num_rows - 1, 0), bool)
+    for k in keys:
+        column = rows.column(k)
+        differs |= pc.not_equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False) if n > 1 else differs
+    return np.flatnonzero(differs) + 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwise.llm import chat, encoding, jaccard, materialize, near_vectors, packing, quality, token_counts, top_k, toxicity
+from panelwise.llm import chat, divergence, encoding, jaccard, materialize, near_vectors, packing, quality, token_counts, top_k, toxicity
 from panelwise.llm.common import table
 from panelwise.llm.labelled import scored
 
@@ -124,3 +124,39 @@ def op6_training_order(spark: SparkSession, sf: str) -> DataFrame:
     """Written to shards and read back: the place, length and ids' digest of each sequence."""
     made = materialize.materialize(table(spark, sf, "documents"), WORDS)
     return materialize.read(spark, made).select("doc_id", "piece", "slot", "shard", "length", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf, "documents"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_P, _F = "1 + (1000000000::HUGEINT * ({0} + 2)) // ({1} + 2 * {2})", "(({0} - {1}) * ({0} - {1})) // ({0} + {1})"
+
+ORACLES["op13_source_divergence"] = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+occurring AS (SELECT d, lang, source, unnest(terms) AS term FROM docs),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM occurring GROUP BY ALL),
+kept AS (SELECT lang, term FROM occurring GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+langs AS (SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+sides AS (SELECT DISTINCT lang, source FROM docs),
+full_counts AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n FROM sides s JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n, {_P.format('n', 'sum(n) OVER (PARTITION BY lang, source)', 'v')} AS p FROM full_counts JOIN langs USING (lang)),
+whole AS (
+  SELECT lang, term, {_P.format('n', 'sum(n) OVER (PARTITION BY lang)', 'v')} AS q
+  FROM (SELECT lang, term, sum(n)::HUGEINT AS n FROM full_counts GROUP BY ALL) JOIN langs USING (lang)),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum({_F.format('x.p', 'y.p')}), 0)::BIGINT AS value
+  FROM sides a JOIN sides b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL
+  UNION ALL
+  SELECT lang, source, 'term', term, ({_F.format('p', 'q')})::BIGINT FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 10"""
