@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from panelwise.plans.bindings import table
 from panelwise.session import landed, new_folder
 
-__all__ = ["held_out", "landed", "new_folder", "on_workers", "partitions", "slices", "table", "texts_of", "whole_groups"]
+__all__ = ["held_out", "landed", "new_folder", "on_workers", "partitions", "pieces", "slices", "table", "texts_of", "whole_groups"]
 
 
 def on_workers(spark: SparkSession) -> SparkSession:
@@ -56,6 +56,16 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = 4 << 20, rows: int = 1
         yield batch.slice(a, b - a)
 
 
+def pieces(text: bytes, table: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """What is left between blanks after ``table`` is applied to a text's bytes, about a megabyte at a time."""
+    clean, at = text.translate(table), 0
+    while at < len(clean):
+        end = clean.find(b" ", at + size) if len(clean) > at + size else -1
+        end = len(clean) if end < 0 else end
+        yield clean[at:end].split()
+        at = end
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
     """Tables of complete runs of equal keys, with the runs' starts and the end; rows arrive in order of the keys.
 

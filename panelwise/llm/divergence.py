@@ -22,34 +22,23 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
-from heapq import heappop, heappush
+from heapq import heappop, heappush, heapreplace
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelwise.llm.common import landed, on_workers, partitions, slices, whole_groups
+from panelwise.llm.common import landed, on_workers, partitions, pieces, slices, whole_groups
 
 #: Bytes of UTF-8 to themselves, A-Z to a-z, other ASCII to blanks.
 TERMS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 #: A block's bytes for each entry, beside its term's letters.
 ENTRY = 120
-RUN = "shard int, lang string, first binary, terms array<binary>, docs array<long>, sizes array<int>, sources array<string>, counts array<long>"
-
-
-def pieces(text: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """The terms of a text, a megabyte of it at a time."""
-    at = 0
-    while at < len(text):
-        end = len(text) if at + size >= len(text) else at + size
-        while end < len(text) and TERMS[text[end]] != 32:
-            after = end + size
-            cut = next((i for i in range(end, min(after, len(text))) if TERMS[text[i]] == 32), None)
-            end = min(after, len(text)) if cut is None else cut
-        yield text[at:end].translate(TERMS).split()
-        at = end
+RUN = "shard int, lang string, first binary, names array<string>, terms array<binary>, docs array<long>, sizes array<int>, sources array<int>, counts array<long>"
 
 
 class Block:
@@ -64,45 +53,54 @@ class Block:
         """Count one document; the empty term counts a group's documents."""
         counts, docs = self.counts[lang][source], self.docs[lang]
         before, seen = len(counts) + len(docs), {b""}
-        for terms in pieces(text):
+        for terms in pieces(text, TERMS):
             counts.update(terms)
             seen.update(terms)
         counts[b""] += 1
         docs.update(seen)
         if grown := len(counts) + len(docs) - before:
-            self.size += grown * ENTRY + sum(map(len, seen))
+            letters = sum(map(len, seen))
+            self.size += grown * (ENTRY + letters // len(seen)) + (letters if letters > 64 * len(seen) else 0)
 
     def spill(self, shards: int, segment: int) -> Iterator[pa.RecordBatch]:
         """The block as term-sorted runs, one for each language and shard, in segments."""
         for lang, docs in self.docs.items():
-            postings: dict[bytes, list[tuple[str, int]]] = defaultdict(list)
-            for source, counts in self.counts[lang].items():
-                for term, n in counts.items():
-                    postings[term].append((source, n))
-            runs: dict[int, list[bytes]] = defaultdict(list)
-            for term in sorted(postings):
-                runs[zlib.crc32(term) % shards].append(term)
-            rows = []
-            for shard, terms in runs.items():
-                at = held = 0
-                for end, term in enumerate(terms, 1):
-                    held += len(postings[term])
-                    if held >= segment or end == len(terms):
-                        some = terms[at:end]
-                        lists = [postings[t] for t in some]
-                        rows.append((shard, lang, some[0], some, [docs[t] for t in some], [len(x) for x in lists], [s for x in lists for s, _ in x], [n for x in lists for _, n in x]))
-                        at, held = end, 0
-                if len(rows) >= 256:
-                    yield _run_rows(rows)
-                    rows = []
-            if rows:
-                yield _run_rows(rows)
-
-
-def _run_rows(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int64())]
-    names = [x.split(" ")[0] for x in RUN.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            terms = sorted(docs)
+            shard = np.array([zlib.crc32(t) % shards for t in terms])
+            order = np.argsort(shard, kind="stable")
+            place = np.empty(len(terms), np.int64)
+            place[order] = np.arange(len(terms))
+            at = dict(zip(terms, place.tolist(), strict=True))
+            names, groups = list(self.counts[lang]), list(self.counts[lang].values())
+            term = np.concatenate([np.fromiter(map(at.__getitem__, g), np.int64, len(g)) for g in groups])
+            source = np.repeat(np.arange(len(groups), dtype=np.int32), [len(g) for g in groups])
+            count = np.concatenate([np.fromiter(g.values(), np.int64, len(g)) for g in groups])
+            by_term = np.argsort(term, kind="stable")
+            sizes = np.bincount(term, minlength=len(terms)).astype(np.int32)
+            terms, shard = [terms[i] for i in order], shard[order]
+            yield from _run_rows(lang, names, shard, terms, [docs[t] for t in terms], sizes, source[by_term], count[by_term], segment)
+
+
+def _run_rows(lang: str, names: list[str], shard: np.ndarray, terms: list[bytes], docs: list[int], sizes: np.ndarray, sources: np.ndarray, counts: np.ndarray, segment: int) -> Iterator[pa.RecordBatch]:
+    """A run for each shard, terms in order, cut where ``segment`` postings are full."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+    full = (ends - sizes - np.repeat((ends - sizes)[starts], np.diff(np.r_[starts, len(terms)]))) // segment
+    cuts = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (full[1:] != full[:-1])])
+    for a in range(0, len(cuts), 256):
+        some = np.r_[cuts[a : a + 256], cuts[a + 256] if a + 256 < len(cuts) else len(terms)]
+        low, high = int(some[0]), int(some[-1])
+        posts = np.r_[(ends - sizes)[some[:-1]], ends[high - 1]]
+        mine = [np.unique(sources[i:j], return_inverse=True) for i, j in zip(posts[:-1], posts[1:], strict=True)]
+        by_term, by_post = pa.array(some - low, pa.int32()), pa.array(posts - posts[0], pa.int32())
+        arrays = [
+            pa.array(shard[some[:-1]], pa.int32()), pa.array([lang] * len(mine)), pa.array([terms[i] for i in some[:-1]], pa.binary()),
+            pa.array([[names[i] for i in used] for used, _ in mine], pa.list_(pa.string())),
+            *(pa.ListArray.from_arrays(by_term, pa.array(x, k)) for x, k in ((terms[low:high], pa.binary()), (docs[low:high], pa.int64()), (sizes[low:high], pa.int32()))),
+            pa.ListArray.from_arrays(by_post, pa.array(np.concatenate([codes for _, codes in mine]), pa.int32())),
+            pa.ListArray.from_arrays(by_post, pa.array(counts[posts[0] : posts[-1]], pa.int64())),
+        ]
+        yield pa.RecordBatch.from_arrays(arrays, [x.split(" ")[0] for x in RUN.split(", ")])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], shards: int, segment: int, memory: int) -> Iterator[pa.RecordBatch]:
@@ -118,69 +116,89 @@ def _runs(batches: Iterator[pa.RecordBatch], shards: int, segment: int, memory:
     yield from block.spill(shards, segment)
 
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(shard, lang, terms, docs, postings of each term) of one segment after the other."""
+class Segment(NamedTuple):
+    """Part of a run: the postings of term i are those from ``ends[i]`` to ``ends[i + 1]``."""
+
+    shard: int
+    lang: str
+    terms: list[bytes]
+    docs: list[int]
+    ends: list[int]
+    sources: list[int]
+    counts: list[int]
+
+
+def _segments(batches: Iterator[pa.RecordBatch], codes: dict[str, int]) -> Iterator[Segment]:
+    """One segment after the other, with sources as this task's numbers."""
     for batch in batches:
+        shard, lang, names = (batch.column(c).to_pylist() for c in ("shard", "lang", "names"))
         for r in range(batch.num_rows):
-            shard, lang, _, terms, docs, sizes, sources, counts = (batch.column(i)[r].as_py() for i in range(8))
-            ends = np.cumsum(sizes).tolist()
-            postings = [list(zip(sources[b - n : b], counts[b - n : b], strict=True)) for n, b in zip(sizes, ends, strict=True)]
-            yield shard, lang, terms, docs, postings
+            terms, docs, sizes, sources, counts = (batch.column(c)[r].values for c in ("terms", "docs", "sizes", "sources", "counts"))
+            mine = np.array([codes.setdefault(x, len(codes)) for x in names[r]])
+            ends = np.r_[0, np.cumsum(sizes.to_numpy())].tolist()
+            yield Segment(shard[r], lang[r], terms.to_pylist(), docs.to_pylist(), ends, mine[sources.to_numpy()].tolist(), counts.to_pylist())
 
 
-def in_order(segments: Iterator[tuple]) -> Iterator[tuple[tuple, int, list]]:
-    """Heap merge: (key, documents, postings) of all segments by (shard, lang, term).
+def in_order(segments: Iterable[Segment]) -> Iterator[tuple[str, bytes, int, list[tuple[Segment, int]]]]:
+    """Heap merge: (lang, term, documents, [(segment, place of the term in it)]) for each term of each shard.
 
-    Segments come in the order of their first keys, so one is opened when the merge gets there.
+    Segments come in the order of (shard, lang, first term), so one is opened when the merge gets there.
     """
-    heap: list[tuple] = []
-
-    def step() -> tuple[tuple, int, list]:
-        key, n, i, segment = heappop(heap)
-        shard, lang, terms, docs, postings = segment
-        if i + 1 < len(terms):
-            heappush(heap, ((shard, lang, terms[i + 1]), n, i + 1, segment))
-        return key, docs[i], postings[i]
-
-    for n, segment in enumerate(segments):
-        first = (segment[0], segment[1], segment[2][0])
-        while heap and heap[0][0] < first:
-            yield step()
-        heappush(heap, (first, n, 0, segment))
-    while heap:
-        yield step()
+    for (_, lang), some in groupby(segments, key=lambda s: (s.shard, s.lang)):
+        heap: list[tuple[bytes, int, int, Segment]] = []
+        coming = enumerate(some)
+        n, following = next(coming)
+        while heap or following is not None:
+            if following is not None and (not heap or following.terms[0] <= heap[0][0]):
+                heappush(heap, (following.terms[0], n, 0, following))
+                n, following = next(coming, (n, None))
+                continue
+            term, docs, parts = heap[0][0], 0, []
+            while heap and heap[0][0] == term:
+                _, m, i, segment = heap[0]
+                docs += segment.docs[i]
+                parts.append((segment, i))
+                if i + 1 < len(segment.terms):
+                    heapreplace(heap, (segment.terms[i + 1], m, i + 1, segment))
+                else:
+                    heappop(heap)
+            yield lang, term, docs, parts
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch], least: int, rows: int = 8192) -> Iterator[pa.RecordBatch]:
     """(lang, term, source, count, total, head): a row for each group of each kept term; head marks a term's first."""
-    out: list[tuple] = []
-
-    def emit(key: tuple, docs: int, sums: Counter) -> None:
-        if docs >= least or key[2] == b"":
-            total = sum(sums.values())
-            out.extend((key[1], key[2], source, n, total, i == 0) for i, (source, n) in enumerate(sums.items()))
+    codes: dict[str, int] = {}
+    langs, terms, sizes, sources, counts = ([] for _ in range(5))
 
     def made() -> pa.RecordBatch:
-        kinds = [pa.string(), pa.binary(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
-        arrays = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
-        arrays[1] = arrays[1].cast(pa.string())
-        out.clear()
+        names, size, n = pa.array(list(codes), pa.string()), np.array(sizes), np.array(counts, np.int64)
+        row, first = pa.array(np.repeat(np.arange(len(size)), size)), np.cumsum(size) - size
+        head = np.zeros(len(n), bool)
+        head[first] = True
+        arrays = [
+            pa.array(langs, pa.string()).take(row), pa.array(terms, pa.binary()).cast(pa.string()).take(row), names.take(pa.array(sources, pa.int32())),
+            pa.array(n), pa.array(np.repeat(np.add.reduceat(n, first), size)), pa.array(head),
+        ]
+        for x in (langs, terms, sizes, sources, counts):
+            x.clear()
         return pa.RecordBatch.from_arrays(arrays, ["lang", "term", "source", "count", "total", "head"])
 
-    last, docs, sums = None, 0, Counter()
-    for key, n, postings in in_order(_segments(batches)):
-        if key != last:
-            if last is not None:
-                emit(last, docs, sums)
-            last, docs, sums = key, 0, Counter()
-            if len(out) >= rows:
-                yield made()
-        docs += n
-        for source, count in postings:
-            sums[source] += count
-    if last is not None:
-        emit(last, docs, sums)
-    if out:
+    for lang, term, docs, parts in in_order(_segments(batches, codes)):
+        if docs < least and term != b"":
+            continue
+        sums: dict[int, int] = {}
+        for segment, i in parts:
+            a, b = segment.ends[i], segment.ends[i + 1]
+            for source, count in zip(segment.sources[a:b], segment.counts[a:b], strict=True):
+                sums[source] = sums.get(source, 0) + count
+        langs.append(lang)
+        terms.append(term)
+        sizes.append(len(sums))
+        sources.extend(sums)
+        counts.extend(sums.values())
+        if len(counts) >= rows:
+            yield made()
+    if counts:
         yield made()
 
 

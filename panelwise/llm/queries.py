@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelwise.llm import chat, divergence, encoding, jaccard, materialize, near_vectors, packing, quality, token_counts, top_k, toxicity
+from panelwise.llm import chat, descent, divergence, encoding, jaccard, materialize, near_vectors, packing, quality, token_counts, top_k, toxicity, variants
 from panelwise.llm.common import table
 from panelwise.llm.labelled import scored
 
@@ -126,6 +126,11 @@ def op6_training_order(spark: SparkSession, sf: str) -> DataFrame:
     return materialize.read(spark, made).select("doc_id", "piece", "slot", "shard", "length", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op11_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return descent.nearest(table(spark, sf, "embeddings"), is_query="vec_id % 20 = 0")
+
+
 @query
 def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf, "documents"))
@@ -160,3 +165,40 @@ found AS (
 SELECT * FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
 WHERE part = 'pair' OR rank <= 10"""
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = rf"""
+WITH RECURSIVE steps AS (
+  SELECT b, b AS c, 0 AS k FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM steps WHERE k = 8),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+summed AS (
+  SELECT run, n, xor(list_reduce([4294967295] || flatten(list_transform(string_split(id || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)),
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS h FROM counted, crc),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM summed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+places AS (SELECT word, n, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM places x JOIN places y ON x.a || '_' || x.b = y.a || '_' || y.b AND x.word <> y.word
+  UNION SELECT p.word, w.word, w.n FROM places p JOIN words w ON w.word = p.a || p.b
+  UNION SELECT w.word, p.word, p.n FROM places p JOIN words w ON w.word = p.a || p.b),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(less := -other_n, other := other)) AS best FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 5 * n THEN best.other END AS form, CASE WHEN -best.less >= 5 * n THEN -best.less END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+ups AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT ups.word, forms.form FROM ups JOIN forms ON forms.word = ups.root WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, u.root, f.n, f.n_near, f.form_n FROM forms f
+JOIN (SELECT ups.word, ups.root FROM ups JOIN forms ON forms.word = ups.root WHERE forms.form IS NULL) u USING (word)"""
