@@ -83,7 +83,7 @@ def test_a_round_finds_better_neighbours(spark):
     draw = np.random.default_rng(4)
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(draw.normal(size=(800, 16)))]
     nodes = descent.nodes_of(descent.usable(frame(spark, rows), "vec_id", "embedding"), 5)
-    graph = descent.first_lists(nodes, 800, 8, 1, 32)
+    graph = descent.first_lists(nodes, 800, 8, 2, 32)
     better = descent.descend(nodes, graph, 8, 16)  # every hub of more than 16 ends is dealt out
     means = [g.selectExpr("avg(aggregate(scores, 0D, (a, b) -> a + b))").first()[0] for g in (graph, better)]
     assert means[1] > means[0] * 1.05
