@@ -356,8 +356,8 @@ def searched(nodes: DataFrame, graph: DataFrame, queries: DataFrame, n: int, bea
 
 def nearest(
     vectors: DataFrame, is_query: str, key: str = "vec_id", vector: str = "embedding", k: int = 20,
-    degree: int = 24, trees: int = 6, leaf: int = 256, rounds: int = 4, least_new: float = 0.05,
-    beam: int = 96, entries: int = 1024, seeds: int = 8, block: int = 256,
+    degree: int = 32, trees: int = 8, leaf: int = 256, rounds: int = 10, least_new: float = 0.05,
+    beam: int = 200, entries: int = 1024, seeds: int = 8, block: int = 256,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest other rows found for each row for which ``is_query`` holds."""
     spark = on_workers(vectors.sparkSession)
