@@ -7,7 +7,9 @@ and splits partitions that a hot key has blown up.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,6 +38,19 @@ def merge_left(
     return left.join(suffix_collisions(left, right, keys, suffix), list(keys), "left")
 
 
+def merge_long(
+    df: DataFrame, keys: Sequence[str], name: str, value: str, columns: Mapping[object, str]
+) -> DataFrame:
+    """Full outer join of the parts of a long table, one column for each name listed, in one aggregate.
+
+    ``df`` holds one row per key and name. As in a join, a row with a NULL key meets no other.
+    """
+    apart = F.when(reduce(or_, [F.col(k).isNull() for k in keys]), F.col(name))
+    listed = df.filter(F.col(name).isin(list(columns)))
+    cells = [F.max(F.when(F.col(name) == n, F.col(value))).alias(c) for n, c in columns.items()]
+    return listed.groupBy(*keys, apart.alias("_apart")).agg(*cells).drop("_apart")
+
+
 def attach(df: DataFrame, per_key: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with the columns of ``per_key``, which holds one row per key of ``df`` itself.
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelwise.operators.join import attach
-from panelwise.operators.quantiles import exact_quantiles, profile, quantiles_within
-from panelwise.session import landed
-
-PAIRS_PER_PASS = 200
-
+from panelwise.operators.quantiles import exact_quantiles, profiled_quantiles
+from panelwise.session import landed, on_workers
 
 def correlation(x: str | Column, y: str | Column) -> Column:
     """Pearson r over complete pairs; NULL when one side is constant (``corr`` raises)."""
@@ -20,26 +19,63 @@ def correlation(x: str | Column, y: str | Column) -> Column:
     )
 
 
-def correlated_columns(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> list[str]:
-    """Columns to drop: those correlated above the limit with any earlier one.
+def co_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, j, n, mean_x, mean_y, sxx, syy, sxy) for each two columns i < j, over rows that have both.
 
-    A dropped column still drops later ones. Every pass spreads a row over a batch of pairs and
-    combines them on the map side: one row per pair and task is shuffled and the generated code
-    stays small however many pairs there are.
+    One pass: a task multiplies its rows, as a matrix and its mask of known values, with themselves batch by
+    batch and leaves one row a pair. Those are written, as small as tasks times pairs, and merged around their
+    common means, so no sum of large squares cancels. NaN counts as missing.
     """
-    pairs = [(a, b) for j, b in enumerate(columns) for a in columns[:j]]
-    dropped = set()
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        batch = pairs[start : start + PAIRS_PER_PASS]
-        cells = [
-            F.struct(
-                F.lit(i).alias("i"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")
-            )
-            for i, (a, b) in enumerate(batch)
-        ]
-        spread = df.select(F.inline(F.array(*cells)))
-        high = spread.groupBy("i").agg(correlation("x", "y").alias("r")).filter(F.abs("r") > limit)
-        dropped |= {batch[row.i][1] for row in high.collect()}
+    on_workers(df.sparkSession)
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    fields = ("n", "mean_x", "mean_y", "sxx", "syy", "sxy")
+    parts = landed(rows.mapInArrow(_co_moments, "i int, j int, " + ", ".join(f"{f} double" for f in fields)), "moments")
+    means = parts.groupBy("i", "j").agg(*[(F.sum(F.col("n") * F.col(m)) / F.sum("n")).alias(f"all_{m}") for m in ("mean_x", "mean_y")])
+    x, y, n = F.col("mean_x") - F.col("all_mean_x"), F.col("mean_y") - F.col("all_mean_y"), F.col("n")
+    return parts.join(means, ["i", "j"]).groupBy("i", "j").agg(
+        F.sum(n).cast("long").alias("n"), F.max("all_mean_x").alias("mean_x"), F.max("all_mean_y").alias("mean_y"),
+        F.sum(F.col("sxx") + n * x * x).alias("sxx"), F.sum(F.col("syy") + n * y * y).alias("syy"), F.sum(F.col("sxy") + n * x * y).alias("sxy"),
+    )
+
+
+def _co_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's moments, merged batch by batch; pairs without a common row are left out."""
+    total: list[np.ndarray] | None = None
+    for batch in batches:
+        if batch.num_rows:
+            values = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+            total = _merged(total, _batch_moments(values))
+    if total is not None:
+        i, j = np.nonzero(np.triu(total[0] > 0, 1))
+        arrays = [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *(pa.array(m[i, j]) for m in total)]
+        yield pa.RecordBatch.from_arrays(arrays, ["i", "j", "n", "mean_x", "mean_y", "sxx", "syy", "sxy"])
+
+
+def _batch_moments(values: np.ndarray) -> list[np.ndarray]:
+    """Matrices n, mean of i, mean of j, and the three sums of centred products, each over rows with both."""
+    mask = ~np.isnan(values)
+    known = mask.astype(float)
+    shift = np.where(mask, values, 0.0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
+    x = np.where(mask, values - shift, 0.0)
+    n, s, q, xy = known.T @ known, x.T @ known, (x * x).T @ known, x.T @ x
+    mean = s / np.maximum(n, 1)
+    return [n, mean + shift[:, None], mean.T + shift[None, :], q - s * mean, (q - s * mean).T, xy - s * mean.T]
+
+
+def _merged(a: list[np.ndarray] | None, b: list[np.ndarray]) -> list[np.ndarray]:
+    if a is None:
+        return b
+    n = a[0] + b[0]
+    x, y, weight = b[1] - a[1], b[2] - a[2], a[0] * b[0] / np.maximum(n, 1)
+    share = b[0] / np.maximum(n, 1)
+    return [n, a[1] + x * share, a[2] + y * share, a[3] + b[3] + x * x * weight, a[4] + b[4] + y * y * weight, a[5] + b[5] + x * y * weight]
+
+
+def correlated_columns(df: DataFrame, columns: Sequence[str], limit: float = 0.95) -> list[str]:
+    """Columns to drop: those correlated above the limit with any earlier one; a dropped column still drops later ones."""
+    r = F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy"))
+    high = co_moments(df, columns).filter((F.abs(r) > limit) & ~F.isnan(r)).select("j").distinct()
+    dropped = {columns[row.j] for row in high.collect()}
     return [c for c in columns if c in dropped]
 
 
@@ -56,10 +92,8 @@ def select_features(df: DataFrame, columns: Sequence[str], limit: float = 0.95)
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: n, n_missing, mean, min, quartiles and max."""
-    held = landed(df.select(*columns), "summary")
-    profiles = profile(held, columns)
-    quartiles = quantiles_within(held, profiles, [0.25, 0.5, 0.75])
+    """One row per column: n, n_missing, mean, min, quartiles and max. ``df``, a table, is read twice."""
+    profiles, quartiles = profiled_quantiles(df.select(*columns), columns, [0.25, 0.5, 0.75])
     rows = [(c, p.n, p.n_missing, p.mean, p.low, *quartiles[c], p.high) for c, p in profiles.items()]
     return df.sparkSession.createDataFrame(
         rows,
@@ -100,7 +134,11 @@ def scale(df: DataFrame, parameters: dict[str, tuple[float, float]], suffix: str
 
 
 def min_max(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Position between the table's smallest and largest value; NULL if they are equal."""
+    """Position between the table's smallest and largest value; NULL if they are equal.
+
+    ``df`` is written once, for the ends and the rows, so what lies behind it runs once.
+    """
+    df = landed(df, "min-max")
     ends = df.select(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     lo, hi = ends["lo"].cast("double"), ends["hi"].cast("double")
     return df.withColumn(out, F.try_divide(F.col(column) - lo, hi - lo))

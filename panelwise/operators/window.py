@@ -13,6 +13,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from panelwise.operators.join import attach
+from panelwise.session import landed
 
 
 def by_time(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
@@ -135,9 +136,11 @@ def with_global_anomaly(
     """Value minus the mean of all periods.
 
     The mean is aggregated first and brought back (one value, or a join per key): unlike a
-    window over the whole group this never gathers the group in one task.
+    window over the whole group this never gathers the group in one task. Without keys ``df`` is
+    written once, for its mean and its rows.
     """
     if not keys:
+        df = landed(df, "anomaly")
         return df.withColumn(out, F.col(column) - df.select(F.avg(column)).scalar())
     means = df.groupBy(*keys).agg(F.avg(column).alias("_mean"))
     return attach(df, means, keys).withColumn(out, F.col(column) - F.col("_mean")).drop("_mean")

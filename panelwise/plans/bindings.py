@@ -139,10 +139,10 @@ def o_mod(n: int) -> Column:
     return F.col("o_custkey") % n
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Three naive predictors of a month's rainfall, long by model."""
+def predictions(spark: SparkSession, sf: str, panel: DataFrame | None = None) -> DataFrame:
+    """Three naive predictors of a month's rainfall, long by model; ``panel`` is the monthly one if it is at hand."""
     w = window.by_time(["city"], TIME)
-    wide = monthly(spark, sf).select(
+    wide = (monthly(spark, sf) if panel is None else panel).select(
         "city",
         *TIME,
         F.col("precip_total").alias("actual"),
@@ -268,4 +268,6 @@ def oracle(body: str) -> str:
     if not views:
         return body
     # A body with its own expressions continues the list.
+    if body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views}, {body[15:]}"
     return f"WITH {views}, {body[5:]}" if body.startswith("WITH ") else f"WITH {views} {body}"

@@ -8,6 +8,7 @@ from panelwise.functions import cleaning
 from panelwise.operators import aggregate, clean, join, shape, stats
 from panelwise.plans import bindings as b
 from panelwise.plans.catalog.registry import query
+from panelwise.session import landed
 
 WET = 500.0
 
@@ -74,12 +75,11 @@ def agg_mean_all_numeric(spark: SparkSession, sf: str) -> DataFrame:
        FROM (SELECT DISTINCT region, city FROM readings) ORDER BY region, city""",
 )
 def distinct_sorted(spark: SparkSession, sf: str) -> DataFrame:
-    rows = b.readings(spark, sf)
-    years = aggregate.period_range(rows, "year")
-    places = aggregate.distinct_sorted(rows, ["region", "city"])
-    return places.withColumns(
-        {c: years.select(c).scalar() for c in ("first_year", "last_year")}
-    )
+    spans = b.readings(spark, sf).groupBy("region", "city").agg(F.min("year").alias("first"), F.max("year").alias("last"))
+    spans = landed(spans, "spans")  # a row for each place, for the places and for the ends of all
+    ends = spans.select(F.min("first").alias("first_year"), F.max("last").alias("last_year"))
+    places = aggregate.distinct_sorted(spans, ["region", "city"])
+    return places.withColumns({c: ends.select(c).scalar() for c in ends.columns})
 
 
 def gappy_rows(spark: SparkSession, sf: str) -> DataFrame:

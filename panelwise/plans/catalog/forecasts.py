@@ -110,8 +110,8 @@ def scenario_score(spark: SparkSession, sf: str) -> DataFrame:
               THEN 'train' ELSE 'test' END AS split FROM monthly""",
 )
 def time_split(spark: SparkSession, sf: str) -> DataFrame:
-    panel = b.monthly(spark, sf).select("city", "year", "month")
-    first_test = models.first_test_period(b.readings(spark, sf), "year", 2)
+    panel = landed(b.monthly(spark, sf).select("city", "year", "month"), "panel")
+    first_test = models.first_test_period(panel, "year", 2)
     return panel.withColumn("split", derive.split_tag(F.col("year"), first_test))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from panelwise.operators import forecast, join, shape, stats
 from panelwise.plans import bindings as b
 from panelwise.plans.catalog.registry import query
+from panelwise.session import landed
 
 
 def incidence(spark: SparkSession, sf: str, indicator: str = "ind_1_urgent", name: str = "incidence") -> DataFrame:
@@ -37,11 +38,13 @@ _INC = "(SELECT country AS city, year, value AS incidence FROM indicators WHERE
                          FROM annual) USING (city, year)""",
 )
 def join_full_outer(spark: SparkSession, sf: str) -> DataFrame:
-    on = ["city", "year"]
-    first = incidence(spark, sf).withColumn("year", moved("year", "year < 1996"))
-    second = incidence(spark, sf, "ind_5_low", "low_cases").withColumn("year", moved("year", "year > 2000"))
+    on, names = ["city", "year"], {"ind_1_urgent": "incidence", "ind_5_low": "low_cases"}
+    rows = b.indicator_rows(spark, sf).filter(F.col("indicator").isin(list(names)))
+    totals = rows.groupBy(F.col("country").alias("city"), "year", "indicator").agg(F.sum("value").alias("value"))
+    shifted = F.when(F.col("indicator") == "ind_1_urgent", moved("year", "year < 1996")).otherwise(moved("year", "year > 2000"))
+    both = join.merge_long(totals.withColumn("year", shifted), on, "indicator", "value", names)
     third = climate(spark, sf).withColumn("year", moved("year", "year = 1998"))
-    return join.merge_full(join.merge_full(first, second, on), third, on)
+    return join.merge_full(both, third, on)
 
 
 @query(
@@ -79,19 +82,19 @@ def join_left_composite(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "join_suffix_collision",
-    """SELECT l.city, l.year, l.value, l.low_ci, r.value AS value_who, r.low_ci AS low_ci_who
+    """SELECT l.city, l.year, l.value, l.low_ci, r.indicator, r.value AS value_who, r.low_ci AS low_ci_who
        FROM (SELECT country AS city, year, value, low_ci FROM indicators WHERE indicator = 'ind_1_urgent') l
-       JOIN (SELECT country AS city, year, value, low_ci FROM indicators WHERE indicator = 'ind_2_high') r
+       JOIN (SELECT country AS city, year, indicator, value, low_ci FROM indicators WHERE indicator <> 'ind_1_urgent') r
          ON l.city = r.city AND l.year = r.year""",
 )
 def join_suffix_collision(spark: SparkSession, sf: str) -> DataFrame:
-    def estimates(indicator: str) -> DataFrame:
-        rows = b.indicator_rows(spark, sf).filter(F.col("indicator") == indicator)
-        return rows.groupBy(F.col("country").alias("city"), "year").agg(
-            F.sum("value").alias("value"), F.min("value").alias("low_ci")
-        )
-
-    left, right = estimates("ind_1_urgent"), estimates("ind_2_high")
+    """The first indicator's estimates beside those of every other one."""
+    estimates = b.indicator_rows(spark, sf).groupBy(F.col("country").alias("city"), "year", "indicator").agg(
+        F.sum("value").alias("value"), F.min("value").alias("low_ci")
+    )
+    estimates = landed(estimates, "estimates")
+    left = estimates.filter("indicator = 'ind_1_urgent'").drop("indicator")
+    right = estimates.filter("indicator <> 'ind_1_urgent'")
     on = ["city", "year"]
     return left.join(join.suffix_collisions(left, right, on, "_who"), on)
 
@@ -116,9 +119,10 @@ def join_semi(spark: SparkSession, sf: str) -> DataFrame:
        FULL OUTER JOIN (SELECT city, year, month, predicted FROM predictions WHERE model = 'lag12') USING (city, year, month)""",
 )
 def join_trends(spark: SparkSession, sf: str) -> DataFrame:
-    panel = b.monthly(spark, sf).withColumn("year", moved("year", "year >= 2001"))
+    monthly = landed(b.monthly(spark, sf), "panel")
+    panel = monthly.withColumn("year", moved("year", "year >= 2001"))
     actuals = panel.withColumn("precip_total", F.when(F.col("month") != 6, F.col("precip_total")))
-    tagged = b.predictions(spark, sf).withColumn(
+    tagged = b.predictions(spark, sf, monthly).withColumn(
         "model", F.when(F.col("model") == "lag12", "lag12").otherwise(F.concat("model", F.lit(" (train)")))
     )
     return join.trends(actuals, tagged, ["city", "year", "month"], ["precip_total", "temp_mean"])

@@ -8,9 +8,12 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from panelwise.operators import shape, stats
 from panelwise.plans import bindings as b
 from panelwise.plans.catalog.registry import query
-from panelwise.session import new_folder
+from panelwise.session import landed, new_folder
 from panelwise.sources import entities, manifest, payloads, sinks, text
 
+#: Items of one page of an indicator, about.
+ITEMS_A_PAGE = 50
+
 ESTIMATE_SCHEMA = (
     "country string, code string, year int, indicator string, value double, low_ci double, high_ci double"
 )
@@ -60,7 +63,8 @@ def scan_csv_strings(spark: SparkSession, sf: str) -> DataFrame:
 )
 def csv_bad_lines(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("order_key")
-    fields = [k.cast("string"), F.lit('"a, b"'), F.col("year_text"), F.col("value_text")]
+    label = F.when(k % 5 == 0, F.lit('"a,\n""b"""')).otherwise(F.lit('"a, b"'))  # a line break inside quotes
+    fields = [k.cast("string"), label, F.col("year_text"), F.col("value_text")]
     line = (
         F.when(k % 29 == 0, F.concat_ws(",", *fields, F.lit("extra")))
         .when(k % 31 == 0, F.concat_ws(",", *fields[:2]))
@@ -174,12 +178,14 @@ def json_indicator_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.col("year").cast("string").alias("date"),
         "value",
     )
-    pages = (
-        b.indicators(spark, sf)
-        .groupBy("indicator")
-        .agg(F.to_json(F.collect_list(item)).alias("items"))
-        .select("indicator", F.concat(F.lit('[{"page":1},'), "items", F.lit("]")).alias("page"))
-    )
+    rows = landed(b.indicators(spark, sf), "indicators")
+    sizes = rows.groupBy("indicator").agg(F.ceil(F.count("*") / ITEMS_A_PAGE).cast("int").alias("pages"))
+    number = F.pmod(F.xxhash64("country", "code", "year"), F.col("pages")).cast("int") + 1
+    paged = rows.join(sizes, "indicator").withColumn("number", number)
+    # Numbered pages, as the feed has them: an indicator is as many documents as its rows fill.
+    pages = paged.groupBy("indicator", "number").agg(F.max("pages").alias("pages"), F.to_json(F.collect_list(item)).alias("items"))
+    meta = F.to_json(F.struct(F.col("number").alias("page"), "pages"))
+    pages = pages.select("indicator", F.concat(F.lit("["), meta, F.lit(","), "items", F.lit("]")).alias("page"))
     return payloads.indicator_pages(pages, "page", keep=["indicator"])
 
 

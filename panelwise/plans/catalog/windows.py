@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from panelwise.operators import rank, stats, window
 from panelwise.plans import bindings as b
 from panelwise.plans.catalog.registry import query
+from panelwise.session import landed
 
 KEYS = ["city"]
 TIME = b.TIME
@@ -190,7 +191,11 @@ def top_k(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT city, year, month, temp_mean FROM monthly ORDER BY city, year, month LIMIT 10 OFFSET 20",
 )
 def limit_n(spark: SparkSession, sf: str) -> DataFrame:
-    return rank.page(panel(spark, sf, "temp_mean"), ID, size=10, number=2)
+    rows = landed(panel(spark, sf, "temp_mean"), "pages")
+    after = None
+    for _ in range(2):
+        after = rank.last_key(rank.page(rows, ID, 10, after), ID)
+    return rank.page(rows, ID, 10, after)
 
 
 @query(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,18 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     )
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster without that path gets the package with ``--py-files`` as usual.
+    """
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -66,25 +65,25 @@ def map_series(
     parameters: Mapping[str, str] = DAILY_PARAMETERS,
     axis: Sequence[str] = ("T2M", "PRECTOTCORR"),
 ) -> DataFrame:
-    """One map per measure to one row per day of the ``axis`` measures' combined days."""
-    parsed = F.from_json(F.col(text), SERIES)["properties"]["parameter"]
-    no_days = F.array().cast("array<string>")
-
-    def days(name: str) -> Column:
-        return F.coalesce(F.map_keys(F.try_element_at(F.col("_maps"), F.lit(name))), no_days)
+    """One map per measure to one row per day of the ``axis`` measures' combined days.
 
-    all_days = reduce(F.array_union, [days(name) for name in axis])
-    real_days = F.array_except(all_days, F.array(F.lit(MISSING_DAY)))
-    maps = df.select(*keep, parsed.alias("_maps"))
-    rows = maps.select(*keep, "_maps", F.explode(F.array_sort(real_days)).alias("day"))
-    return rows.select(
-        *keep,
-        "day",
-        *[
-            F.try_element_at(F.try_element_at(F.col("_maps"), F.lit(name)), F.col("day")).alias(column)
-            for name, column in parameters.items()
-        ],
-    )
+    The entries of all maps are spread once and met again by document and day: work grows with the entries,
+    not with days times measures, and a document's days are dealt to many tasks. Of keys that repeat in one
+    map the largest value counts.
+    """
+    parsed = F.from_json(F.col(text), SERIES)["properties"]["parameter"]
+    maps = df.select(*keep, F.monotonically_increasing_id().alias("_doc"), parsed.alias("_maps"))
+    names = list(parameters) + [a for a in axis if a not in parameters]
+
+    def entries(name: str) -> Column:
+        days = F.map_entries(F.try_element_at(F.col("_maps"), F.lit(name)))
+        cell = F.transform(days, lambda e: F.struct(F.lit(names.index(name)).alias("m"), e["key"].alias("day"), e["value"].alias("v")))
+        return F.coalesce(cell, F.array().cast("array<struct<m:int,day:string,v:double>>"))
+
+    cells = maps.select(*keep, "_doc", F.inline(F.concat(*[entries(n) for n in names]))).filter(F.col("day") != MISSING_DAY)
+    on_axis = F.max(F.col("m").isin([names.index(a) for a in axis])).alias("_on_axis")
+    values = [F.max(F.when(F.col("m") == names.index(n), F.col("v"))).alias(c) for n, c in parameters.items()]
+    return cells.groupBy("_doc", *keep, "day").agg(on_axis, *values).filter("_on_axis").select(*keep, "day", *parameters.values())
 
 
 def scan_report(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

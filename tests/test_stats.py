@@ -39,14 +39,36 @@ def test_quantiles_with_infinities_and_nan(spark, accuracy):
     assert got == {"a": [-inf, 79.5, inf], "only": [inf] * 3, "none": [None] * 3}
 
 
-def test_rounds_do_not_depend_on_the_distribution(spark, monkeypatch):
+def test_two_passes_do_whatever_the_distribution(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "_narrow", None)
+    data = quantile_data()
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*data.values())], list(data)).repartition(5)
+    profiles, got = quantiles.profiled_quantiles(df, list(data), PROBABILITIES)
+    for name, values in data.items():
+        np.testing.assert_allclose(got[name], np.quantile(values, PROBABILITIES), rtol=1e-12)
+        assert profiles[name].n == 999 and profiles[name].low == values.min()
+
+
+def test_brackets_with_too_many_values_are_narrowed(spark, monkeypatch):
     rounds, narrow = [], quantiles._narrow
     monkeypatch.setattr(quantiles, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
-    for column in ("powers", "outliers", "uniform"):
-        df = spark.createDataFrame([(float(v),) for v in quantile_data()[column]], "v double")
-        rounds.clear()
-        exact_quantiles(df, ["v"], [0.25, 0.5, 0.75])
-        assert len(rounds) == 1
+    monkeypatch.setattr(quantiles, "LISTED", 10)
+    values = quantile_data()["uniform"]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
+    got = exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], 100)
+    np.testing.assert_allclose(got["v"], np.quantile(values, [0.25, 0.5, 0.75]), rtol=1e-12)
+    assert rounds
+
+
+def test_a_summary_reads_its_table_twice(spark, sf, monkeypatch):
+    reads, aggregate = [], type(spark.range(0)).agg
+    parts = quantiles._parts
+    monkeypatch.setattr(quantiles, "_parts", lambda df, brackets: reads.append(df) or parts(df, brackets))
+    monkeypatch.setattr(type(spark.range(0)), "agg", lambda df, *a: reads.append(df) or aggregate(df, *a))
+    df = spark.read.parquet(f"{sf}/lineitem.parquet")
+    out = stats.numeric_summary(df, ["l_quantity", "l_tax"])
+    scans = [d for d in reads if "lineitem" in d._jdf.queryExecution().optimizedPlan().toString() and "Aggregate" not in d._jdf.queryExecution().optimizedPlan().toString()]
+    assert out.count() == 2 and len(scans) == 2
 
 
 def test_quantiles_of_missing_and_single(rows):

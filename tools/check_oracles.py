@@ -55,7 +55,7 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
 
 def main() -> int:
     sf, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
-    spark = local_session("8")
+    spark = local_session(os.environ.get("CORES", "8"))
     spark.sparkContext.setLogLevel("ERROR")
     con, bad = connect(sf), 0
     for name in names:
