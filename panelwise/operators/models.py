@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import product
-from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelwise.functions.derive import risk_band, split_tag
 from panelwise.operators import stats
-from panelwise.operators.quantiles import profile, quantiles_within
+from panelwise.operators.quantiles import profiled_quantiles
 from panelwise.operators.shape import union_all
 
 SEED = 42
@@ -110,8 +109,7 @@ def preparation(
     A feature that is constant there can neither be weighed nor split on and is left out; the
     linear solver would otherwise meet a singular system and settle for an approximation.
     """
-    profiles = profile(train, features)
-    fills = quantiles_within(train, profiles, [0.5]) if fill == "median" else {}
+    profiles, fills = profiled_quantiles(train, features, [0.5] if fill == "median" else [])
     known = {f: float((fills.get(f) or [None])[0] or 0.0) for f in features}
     varying = [
         f
@@ -150,7 +148,7 @@ def _estimator(spec: Spec, label: str, output: str, n: int, label_deviation: flo
             numTrees=int(p.get("trees", 100)),
             maxDepth=int(p.get("depth", 5)),
             minInstancesPerNode=int(p.get("min_leaf", 1)),
-            bootstrap=not extra,
+            bootstrap=bool(p.get("bootstrap", not extra)),
             featureSubsetStrategy=p.get("subset", "onethird" if extra else "all"),
             seed=SEED,
             **common,
@@ -241,86 +239,7 @@ def importances(spark: SparkSession, model: PipelineModel, features: Sequence[st
     )
 
 
-# --- tuning and stacking ----------------------------------------------------------------------
-
-
-def tune(
-    train: DataFrame,
-    features: Sequence[str],
-    label: str,
-    period: str,
-    specs: Sequence[Spec],
-    folds: int = 3,
-    scaling: str = "robust",
-    parallelism: int = 4,
-) -> list[tuple[Spec, float]]:
-    """Mean fold error (MAE) of every candidate, in the order given.
-
-    The folds expand in time. Each is prepared once and kept, past rows and next block apart.
-    Candidates are fitted side by side from a small thread pool; each fit is an ordinary distributed
-    job. Equal models are fitted once, whatever their kind is called, and boostings that differ in
-    their iterations only are one model: a shorter one is the longer one's beginning.
-    """
-    blocks = with_time_blocks(train.dropna(subset=[label]), period, folds).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    parts, kept = {}, [blocks]
-    longest: dict[tuple, int] = {}
-    for s in specs:
-        name, iterations = _same_fit(s)
-        longest[name] = max(longest.get(name, 0), iterations)
-
-    def fold_errors(task: tuple[tuple, int]) -> list[float]:
-        (kind, params), i = task
-        past, following, (n, deviation) = parts[i]
-        more = {"iterations": longest[task[0]]} if kind == "gbt" else {}
-        model = _estimator(Spec(kind, dict(params) | more), label, "predicted", n, deviation or 0.0).fit(past)
-        if kind == "gbt":
-            return model.evaluateEachIteration(following, "absolute")
-        return [model.transform(following).agg(F.avg(F.abs(F.col(label) - F.col("predicted")))).first()[0]]
-
-    try:
-        for i in range(1, folds + 1):
-            past, following = blocks.filter(F.col("block") < i), blocks.filter(F.col("block") == i)
-            stages = PipelineModel(preparation(past, features, scaling))
-            wanted = [F.col(label).cast("double").alias(label), VECTOR]
-            ready = [stages.transform(x).select(*wanted).persist(StorageLevel.MEMORY_AND_DISK) for x in (past, following)]
-            kept += ready
-            parts[i] = (*ready, ready[0].agg(F.count(label), F.stddev_pop(label)).first())
-        tasks = [(name, i) for name in longest for i in range(1, folds + 1)]
-        with ThreadPool(parallelism) as pool:
-            errors = dict(zip(tasks, pool.map(fold_errors, tasks, chunksize=1), strict=True))
-    finally:
-        for frame in kept:
-            frame.unpersist()
-
-    def mean_error(spec: Spec) -> float:
-        name, iterations = _same_fit(spec)
-        return sum(errors[name, i][iterations - 1] for i in range(1, folds + 1)) / folds
-
-    return [(s, mean_error(s)) for s in specs]
-
-
-def _same_fit(spec: Spec) -> tuple[tuple, int]:
-    """(what candidates fitted together share, iterations); 1 for a model without iterations."""
-    if spec.kind not in ("gbt", "boosted_alt"):
-        return (spec.kind, tuple(sorted(spec.params.items()))), 1
-    rest = {k: v for k, v in spec.params.items() if k != "iterations"}
-    return ("gbt", tuple(sorted(rest.items()))), int(spec.params.get("iterations", 100))
-
-
-def tune_and_refit(
-    train: DataFrame,
-    features: Sequence[str],
-    label: str,
-    period: str,
-    specs: Sequence[Spec],
-    **options,
-) -> tuple[PipelineModel, Spec, float]:
-    """The candidate with the smallest fold error, fitted on all of ``train``."""
-    scored = tune(train, features, label, period, specs, **options)
-    spec, error = min(scored, key=lambda s: s[1])
-    return fit(train, features, label, spec, options.get("scaling", "robust")), spec, error
+# --- stacking --------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from panelwise.functions.derive import split_tag
-from panelwise.operators import ensemble, forecast, models, rank, stats
+from panelwise.operators import ensemble, forecast, models, rank, stats, tuning
 from panelwise.operators.models import ANNUAL_MODELS, GRIDS, Spec, Stack
 from panelwise.session import landed
 
@@ -134,20 +134,19 @@ def train_tuned(
     features = stats.select_features(rows, [c for c in candidates if c in rows.columns])
     first_test = _first_test(rows, period, n_test)
     train, _ = models.split_at(rows, period, first_test)
-    fitted: dict[str, PipelineModel] = {}
-    winners: dict[str, Spec] = {}
-    errors: dict[str, float] = {}
-    for kind, grid in grids.items():
-        fitted[kind], winners[kind], errors[kind] = models.tune_and_refit(
-            train, features, label, period, models.candidates(kind, grid)
-        )
+    specs = [s for kind, grid in grids.items() for s in models.candidates(kind, grid)]
+    tuned = tuning.cross_validate(train, features, label, period, specs)
+    winners = {kind: spec for kind, (spec, _) in tuned.winners().items()}
+    errors = {kind: error for kind, (_, error) in tuned.winners().items()}
+    prepared = models.preparation(train, features, "robust")
+    fitted = {kind: models.fit(train, features, label, spec, prepared=prepared) for kind, spec in winners.items()}
     table = models.prediction_table(fitted, rows, [*keys, period], label)
     spark = rows.sparkSession
     cv = spark.createDataFrame(list(errors.items()), "model string, mae double")
     weighted = ensemble.weighted_ensemble(table, [*keys, period], cv)
 
     top = sorted(errors, key=errors.get)[:stack_top]
-    stacked = models.stack(train, features, label, period, {k: winners[k] for k in top})
+    stacked = tuning.stacked(train, features, label, tuned, {k: winners[k] for k in top})
     stack_rows = stacked.transform(rows).select(*keys, period, F.col(label).alias("actual"), "predicted")
     everything = table.select(*keys, period, "model", "actual", "predicted")
     for name, more in (("weighted", weighted), ("stacking", stack_rows)):
