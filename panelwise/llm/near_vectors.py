@@ -1,8 +1,8 @@
 """Near-duplicate embeddings: iterative quantisation, multi-index Hamming tables, exact reranking.
 
-1. Equal vectors are one class; classes go on as one vector each.
+1. Equal vectors are one class; classes go on as one vector each, known by a number of their own.
 2. Rotations that spread the variance evenly over the bits are learnt on a bounded sample (the
-   ``sample`` rows of smallest hash); every class gets a code of ``64 * rotations`` bits.
+   ``sample`` classes of smallest hash); every class gets a code of ``64 * rotations`` bits.
 3. The code is cut into keys of ``key_bits``; classes that share any key meet in that key's bucket,
    where pairs beyond a radius of differing bits are set aside. What is left joins classes into
    candidate groups. Radius and keys are measured, not given: vectors that took no part in the fit
@@ -169,8 +169,7 @@ def _vector_links(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator
         for r, c in tiles(group):
             near = (vectors[r] @ vectors[c].T >= threshold) & (r[:, None] != c[None, :])
             count[r] += near @ size[c]
-            if (group["at"].iat[r[0]], group["lo"].iat[0]) == (group["hi"].iat[0],) * 2 or group["lo"].iat[0] != group["hi"].iat[0]:
-                join_matrix(union, near, r, c)
+            join_matrix(union, near, r, c)
             if group["lo"].iat[0] != group["hi"].iat[0]:
                 count[c] += near.T @ size[r]
         yield star_rows(union, ids).assign(n=0)
@@ -203,8 +202,11 @@ def near_vectors(
     if length is None:
         return _alone(narrow)
     usable = narrow.withColumn("v", F.when(F.size("v") == length["d"], F.col("v")))
-    classes = landed(usable.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("size")), "vectors")
-    drawn = classes.orderBy(F.xxhash64("cls", F.lit(11)), "cls").limit(sample).select("v").toArrow()["v"].combine_chunks()
+    equal = usable.where("v IS NOT NULL").groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("size"))
+    classes = landed(equal.withColumn("cls", F.monotonically_increasing_id()), "vectors")
+    # By hash, from a share that holds about twice the sample: tasks send that many in all, not each.
+    h, share = F.pmod(F.xxhash64("v", F.lit(11)), F.lit(1 << 30)), min(1.0, 2 * sample / max(1, classes.count()))
+    drawn = classes.where(h <= share * (1 << 30)).orderBy(h, "cls").limit(sample).select("v").toArrow()["v"].combine_chunks()
     codes, radius, places = fitted(drawn.flatten().to_numpy().reshape(len(drawn), -1), threshold, bits, key_bits, tables, recall, probes)
     keyed = classes.select("cls", "v").mapInArrow(partial(_keys, codes=codes, places=places), "bucket long, cls long, code binary")
     buckets = block_pairs(keyed, "bucket", "cls", block).repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
@@ -215,7 +217,10 @@ def near_vectors(
     found = landed(checked.mapInPandas(partial(_vector_links, threshold=threshold), "a long, b long, n long"), "vector-links")
     counts = found.groupBy(F.col("a").alias("cls")).agg(F.sum("n").alias("n"))
     parts = components(found).withColumnRenamed("node", "cls")
-    known = classes.join(counts, "cls", "left").join(parts, "cls", "left").select("v", "cls", "size", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "cls").alias("component"))
+    # A group is named by its smallest id in the end; until then by a class's number, as ids may repeat.
+    grouped = classes.join(counts, "cls", "left").join(parts, "cls", "left").select("v", "least", "size", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "cls").alias("group"))
+    names = grouped.groupBy("group").agg(F.min("least").alias("component"))
+    known = grouped.join(names, "group")
     out = usable.join(known, usable["v"] == known["v"], "left").select("vec_id", (F.col("size") - 1 + F.col("n")).alias("n_links"), F.col("component").alias("component_id"))
     return _alone(out)
 

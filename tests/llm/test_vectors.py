@@ -53,6 +53,19 @@ def test_near_vectors_against_brute_force(spark):
         assert a == sorted(zip(ids, want.n, part, strict=True))
 
 
+def test_ids_shared_by_different_vectors_keep_their_own_counts(spark):
+    draw = np.random.default_rng(5)
+    a, b, c = draw.normal(size=(3, 16))
+    near = [v + draw.normal(scale=0.01, size=16) for v in (a, b, b)]
+    rows = [(1, a), (1, b), (7, near[0]), (8, near[1]), (9, near[2]), (1, c), (3, a), (0, draw.normal(size=16)), (0, near[0])]
+    rows += [(20 + i, v) for i, v in enumerate(draw.normal(size=(40, 16)))]
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    links, ids, part = cosine_groups(rows)
+    got = near_vectors.near_vectors(frame(spark, rows)).toPandas()
+    assert sorted(zip(got.vec_id, got.n_links, got.component_id, strict=True)) == sorted(zip(ids, links.sum(axis=1), part, strict=True))
+    assert sorted(got[got.vec_id == 1].n_links) == [0, 2, 3]
+
+
 def test_near_vectors_on_given_tables(spark, sf):
     rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()
     near, *_ = cosine_groups([(r.vec_id, r.embedding) for r in rows])
