@@ -247,8 +247,8 @@ def descend(nodes: DataFrame, graph: DataFrame, degree: int, block: int) -> Data
     forward = edges.select(F.col("node").alias("centre"), F.col("other").alias("member"), "new")
     back = edges.select(F.col("other").alias("centre"), F.col("node").alias("member"), "new")
     hubs = back.groupBy("centre").agg(F.count("*").alias("n")).where(F.col("n") > block)
-    if hubs.limit(1).count():
-        parts = landed(hubs.select("centre", F.ceil(F.col("n") / block).cast("int").alias("parts")), "hubs")
+    parts = landed(hubs.select("centre", F.ceil(F.col("n") / block).cast("int").alias("parts")), "hubs")
+    if parts.limit(1).count():
         parts_of = F.coalesce("parts", F.lit(1))
         back = back.join(parts, "centre", "left").withColumn("part", F.pmod(F.xxhash64("member"), parts_of).cast("int")).drop("parts")
         forward = forward.join(parts, "centre", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts_of - 1))).drop("parts")
