@@ -157,13 +157,18 @@ def ensemble_weighted(spark: SparkSession, sf: str) -> DataFrame:
 _WY = "WINDOW w AS (PARTITION BY city ORDER BY year), w5 AS (PARTITION BY city ORDER BY year ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
 
 
+_OTHERS = ("incidence_low", "incidence_high", *b.INDICATORS[1:])
+_PIVOT_SQL = f"""max(value) FILTER (indicator = '{b.INDICATORS[0]}') AS incidence, max(low_ci) FILTER (indicator = '{b.INDICATORS[0]}') AS incidence_low,
+    max(high_ci) FILTER (indicator = '{b.INDICATORS[0]}') AS incidence_high, """ + ", ".join(f"max(value) FILTER (indicator = '{i}') AS {i}" for i in b.INDICATORS[1:])
+
+
 @query(
     "flagship_features",
-    f"""WITH t AS (SELECT country AS city, year, value AS incidence FROM indicators WHERE indicator = 'ind_1_urgent'),
-             m AS (SELECT city, year, incidence, temp_mean, temp_max, precip_total, precip_days, humidity_mean, wind_mean, solar_mean, n_cities
+    f"""WITH t AS (SELECT country AS city, year, {_PIVOT_SQL} FROM indicators GROUP BY ALL),
+             m AS (SELECT city, year, incidence, {', '.join(_OTHERS)}, temp_mean, temp_max, precip_total, precip_days, humidity_mean, wind_mean, solar_mean, n_cities
                    FROM t FULL OUTER JOIN annual USING (city, year)),
              f AS (SELECT *, last_value(incidence IGNORE NULLS) OVER w AS v FROM m {_WY})
-        SELECT city, year, incidence, temp_mean, temp_max, precip_total, precip_days, humidity_mean, wind_mean, solar_mean, n_cities,
+        SELECT city, year, incidence, {', '.join(_OTHERS)}, temp_mean, temp_max, precip_total, precip_days, humidity_mean, wind_mean, solar_mean, n_cities,
                lag(incidence, 1) OVER w AS incidence_lag1, lag(incidence, 2) OVER w AS incidence_lag2,
                incidence - lag(incidence) OVER w AS incidence_change,
                round((v - lag(v) OVER w) / nullif(lag(v) OVER w, 0) * 100, 8) AS incidence_change_pct,
@@ -174,5 +179,13 @@ _WY = "WINDOW w AS (PARTITION BY city ORDER BY year), w5 AS (PARTITION BY city O
                round(temp_mean - avg(temp_mean) OVER w5, 8) AS temp_anomaly FROM f {_WY}""",
 )
 def flagship_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = features.annual_features(incidence(spark, sf), b.annual(spark, sf), ["city"])
+    """All indicators by year, the first with its bounds, beside the climate, with lags, changes and anomalies."""
+    name, value = F.col("indicator"), F.col("value")
+    wide = b.indicator_rows(spark, sf).groupBy(F.col("country").alias("city"), "year").agg(
+        F.sum(F.when(name == b.INDICATORS[0], value)).alias("incidence"),
+        F.min(F.when(name == b.INDICATORS[0], value)).alias("incidence_low"),
+        F.max(F.when(name == b.INDICATORS[0], value)).alias("incidence_high"),
+        *[F.sum(F.when(name == i, value)).alias(i) for i in b.INDICATORS[1:]],
+    )
+    out = features.annual_features(wide, b.annual(spark, sf), ["city"])
     return out.withColumns({c: F.round(c, 8) for c in ("incidence_change_pct", "temp_anomaly")})

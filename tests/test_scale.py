@@ -1,14 +1,17 @@
 """Plans and results under the conditions of large, skewed tables."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from panelwise.operators import aggregate
 from panelwise.plans import bindings
-from panelwise.plans.catalog import QUERIES
+from panelwise.plans.catalog import QUERIES, models
 from tools.check_oracles import canonical
 
-SINGLE_SCAN = ["flagship_features", "lag_n", "agg_monthly", "anomaly_global", "pct_from_first", "ols_line", "ensemble_weighted", "pivot_first"]
+FACTS = ("lineitem", "orders", "events")
+#: Two passes are the method: brackets, then counts (``quantiles``); parameters, then the rows they change.
+TWO_PASSES = {"numeric_summary": 2, "median_impute": 2, "robust_scale": 2}
 
 
 def final_plan(df):
@@ -16,12 +19,48 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", SINGLE_SCAN)
-def test_facts_are_scanned_once_without_cross_joins(name, spark, sf):
-    plan = final_plan(QUERIES[name](spark, sf))
-    for table in ("lineitem", "orders"):
-        assert sum(f"/{table}.parquet" in line and "FileScan" in line for line in plan.splitlines()) <= 1
-    assert "NestedLoop" not in plan and "Cartesian" not in plan and "EvalPython" not in plan
+class Plans:
+    """The plans of all that a query does, eager steps and scalar subqueries included, without adaptive changes."""
+
+    def __init__(self, spark, monkeypatch):
+        self.texts = []
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for kind, names in ((DataFrameWriter, ("parquet", "csv", "json", "text")), (DataFrame, ("collect", "first", "count", "toArrow"))):
+            for name in names:
+                monkeypatch.setattr(kind, name, self.noted(getattr(kind, name)))
+
+    def noted(self, action):
+        def run(on, *args, **kwargs):
+            self.note(on._df if hasattr(on, "_df") else on)
+            return action(on, *args, **kwargs)
+
+        return run
+
+    def note(self, df):
+        self.texts.append(df._jdf.queryExecution().executedPlan().toString())
+
+    def scans(self, table):
+        return sum(f"/{table}.parquet" in line and "FileScan" in line for text in self.texts for line in text.splitlines())
+
+
+@pytest.fixture
+def plans(spark, monkeypatch):
+    yield Plans(spark, monkeypatch)
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_facts_are_scanned_once_without_cross_joins(name, spark, sf, plans):
+    if name in ("ts_cv_grid", "ts_cv_errors", "ensemble_stacking", "ensemble_stacking_errors") or name.startswith("model_"):
+        # Fitting only adds passes over what is written: the panel is the part that reads facts.
+        df = models.feature_panel(spark, sf)
+    else:
+        df = QUERIES[name](spark, sf)
+    plans.note(df)
+    for table in FACTS:
+        assert plans.scans(table) <= TWO_PASSES.get(name, 1), table
+    for plan in plans.texts:
+        assert "NestedLoop" not in plan and "Cartesian" not in plan and "EvalPython" not in plan
 
 
 def test_scan_reads_the_needed_columns_only(spark, sf):

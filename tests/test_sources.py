@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
@@ -91,3 +92,77 @@ def test_scratch_needs_a_shared_folder():
     assert new_folder(cluster, "x") != new_folder(cluster, "x")
     with pytest.raises(RuntimeError):
         shared_folder(Session("spark://host:7077"))
+
+
+def records_of(spark, path):
+    rows = text.records(spark, path).collect()
+    return sorted((r._ordinal.block.file_block_start, r._ordinal.line, r._record, r.is_broken) for r in rows)
+
+
+def quoted_lines():
+    """Records with everything that may stand inside quotes, and the file they make."""
+    records = []
+    for i in range(300):
+        records.append(f'{i},"plain, {i}",{i * 0.5}')
+        if i % 3 == 0:
+            records.append(f'{i},"two\nlines with ""doubled"" quotes\n\nand, commas",1')
+        if i % 7 == 0:
+            records.append(f'{i},5" pipe,2')  # a quote inside an unquoted field opens nothing
+        if i % 11 == 0:
+            records.append(f'{i},"ends here ""\n"" or there",""')
+        if i % 50 == 0:
+            records.append(f'{i},"' + "\n".join(["a line, of many"] * 40) + '",3')
+    return records
+
+
+@pytest.mark.parametrize("split", ["100", "1000", "128m"])
+def test_quoted_line_breaks_stay_in_one_record_wherever_files_split(spark, split):
+    records = quoted_lines()
+    path = new_folder(spark, "t")
+    spark.createDataFrame([("\n".join(records),)], "value string").coalesce(1).write.text(path)
+    spark.createDataFrame([("x,y,z\n1,\"a\nb\",2",)], "value string").coalesce(1).write.mode("append").text(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = records_of(spark, path)
+        assert spark.read.text(path).rdd.getNumPartitions() > (5 if split != "128m" else 0)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(r[2] for r in got) == sorted([*records, "x,y,z", '1,"a\nb",2']) and not any(r[3] for r in got)
+
+
+def test_a_lost_quote_gathers_no_file(spark):
+    lines = ["1,a", '2,"never closed'] + [f"{i},b" for i in range(3, 60)]
+    path = land(spark, lines)
+    rows = text.records(spark, path, most_lines=20).collect()
+    assert sorted((r._record, r.is_broken) for r in rows) == sorted((x, x != "1,a") for x in lines)
+
+
+def test_records_with_line_breaks_are_parsed_and_long_ones_set_apart(spark):
+    path = land(spark, ["country,year,value", '"Korea,\nRep ""S""",2001,2.5', '"two\nlines",2002,1.0,"and\nmore"', "Chad,2002"])
+    kept, quarantined = text.scan_with_quarantine(spark, path, SCHEMA)
+    assert {tuple(r) for r in kept.collect()} == {('Korea,\nRep "S"', 2001, 2.5), ("Chad", 2002, None)}
+    assert [r[0] for r in quarantined.collect()] == ['"two\nlines",2002,1.0,"and\nmore"']
+
+
+def test_series_of_many_days_take_time_in_proportion(spark):
+    def document(n):
+        days = {f"{20000000 + i}": float(i) for i in range(n)}
+        return json.dumps({"properties": {"parameter": {"T2M": days, "PRECTOTCORR": days, "RH2M": days, "WS2M": days, "ALLSKY_SFC_SW_DWN": days}}})
+
+    def seconds(n):
+        df = landed(spark.createDataFrame([("x", document(n))], "city string, doc string"), "t")
+        start = time.perf_counter()
+        total = payloads.map_series(df, "doc", ["city"]).selectExpr("count(*)", "sum(temp + precip + humidity + wind + solar)").first()
+        assert tuple(total) == (n, 5.0 * n * (n - 1) / 2)
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = min(seconds(1_000) for _ in range(2)), min(seconds(10_000) for _ in range(2))
+    assert many < 10 * max(few, 0.3)
+
+
+def test_equal_keys_of_different_documents_stay_apart(spark):
+    doc = json.dumps({"properties": {"parameter": {"T2M": {"20200101": 1.0, "20200102": None}, "RH2M": {"20200101": 5.0}}}})
+    df = spark.createDataFrame([("x", doc), ("x", doc), ("y", "{}"), ("z", None)], "city string, doc string")
+    got = sorted((r.city, r.day, r.temp, r.humidity) for r in payloads.map_series(df, "doc", ["city"]).collect())
+    assert got == sorted([("x", "20200101", 1.0, 5.0), ("x", "20200102", None, None)] * 2, key=str)

@@ -60,17 +60,6 @@ def test_brackets_with_too_many_values_are_narrowed(spark, monkeypatch):
     assert rounds
 
 
-def test_a_summary_reads_its_table_twice(spark, sf, monkeypatch):
-    reads, aggregate = [], type(spark.range(0)).agg
-    parts = quantiles._parts
-    monkeypatch.setattr(quantiles, "_parts", lambda df, brackets: reads.append(df) or parts(df, brackets))
-    monkeypatch.setattr(type(spark.range(0)), "agg", lambda df, *a: reads.append(df) or aggregate(df, *a))
-    df = spark.read.parquet(f"{sf}/lineitem.parquet")
-    out = stats.numeric_summary(df, ["l_quantity", "l_tax"])
-    scans = [d for d in reads if "lineitem" in d._jdf.queryExecution().optimizedPlan().toString() and "Aggregate" not in d._jdf.queryExecution().optimizedPlan().toString()]
-    assert out.count() == 2 and len(scans) == 2
-
-
 def test_quantiles_of_missing_and_single(rows):
     df = rows([(None, 1.0, 1), (None, None, 2)], "a double, b double, c int")
     assert exact_quantiles(df, ["a", "b", "c"], [0.5]) == {"a": [None], "b": [1.0], "c": [1.5]}
@@ -176,3 +165,32 @@ def test_min_max_of_a_constant_is_null(rows):
     assert [r.n for r in stats.min_max(df, "v", "n").collect()] == [None, None]
     spread = stats.min_max(rows([(1,), (5,), (2,)], "v int"), "v", "n").orderBy(F.col("v"))
     assert [r.n for r in spread.collect()] == [0.0, 0.25, 1.0]
+
+
+def test_co_moments_of_pairs_with_gaps(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(700, 6)) * [1, 5, 1e-3, 1, 1, 1] + [1e6, 0, 3, -2, 0, 0]
+    x[:, 3] = 2 * x[:, 1] + 1e-3 * x[:, 3]
+    x[:, 5] = 7.0
+    x[rng.random((700, 6)) < 0.2] = np.nan
+    x[:, 4] = np.where(np.isnan(x[:, 0]), x[:, 4], np.nan)  # never known together with the first
+    rows = [tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, [f"c{i}" for i in range(6)]).repartition(7)
+    got = {(r.i, r.j): r for r in stats.co_moments(df, df.columns).collect()}
+    assert (0, 4) not in got
+    for (i, j), r in got.items():
+        a, b = x[:, i], x[:, j]
+        both = ~np.isnan(a) & ~np.isnan(b)
+        a, b = a[both], b[both]
+        assert r.n == both.sum() and r.mean_x == pytest.approx(a.mean()) and r.mean_y == pytest.approx(b.mean())
+        want = [((a - a.mean()) ** 2).sum(), ((b - b.mean()) ** 2).sum(), ((a - a.mean()) * (b - b.mean())).sum()]
+        np.testing.assert_allclose([r.sxx, r.syy, r.sxy], want, rtol=1e-7, atol=1e-7)
+    assert stats.correlated_columns(df, df.columns) == ["c3"]
+
+
+def test_correlations_of_many_columns_read_the_rows_once(spark, monkeypatch):
+    df = spark.range(500).selectExpr(*[f"CAST(hash(id, {k}) AS DOUBLE) AS c{k}" for k in range(50)], "CAST(hash(id, 3) AS DOUBLE) * 2 + 1 AS c50")
+    written = []
+    landed = stats.landed
+    monkeypatch.setattr(stats, "landed", lambda df, label: written.append(label) or landed(df, label))
+    assert stats.correlated_columns(df, df.columns) == ["c50"] and written == ["moments"]

@@ -125,3 +125,33 @@ def test_extremes_and_latest(rows):
     latest = {r.city: r.v for r in aggregate.latest_known(df, ["v"], "t", KEYS).collect()}
     last = {r.city: r.v for r in aggregate.last_row(df, ["v"], "t", KEYS).collect()}
     assert latest == {"a": 5.0, "b": None} and last == {"a": None, "b": None}
+
+
+def test_global_rank_equals_a_window_over_everything(spark):
+    rows = [(i, float(v)) for i, v in enumerate([3, 1, 3, 3, 2, 5, 5, -1, 0] * 40)] + [(1000 + i, i * 0.37 % 7) for i in range(500)] + [(5000, None)]
+    df = spark.createDataFrame(rows, "id int, v double").repartition(4)
+    got = {r.id: r["rank"] for r in rank.global_rank(df, "v").collect()}
+    values = sorted((v for _, v in rows if v is not None), reverse=True)
+    first = {}
+    for place, v in enumerate(values, 1):
+        first.setdefault(v, place)
+    assert got == {i: None if v is None else first[v] for i, v in rows}
+
+
+def test_pages_follow_one_another_from_the_last_key(spark):
+    rows = [(a, b, 0) for a in (None, 1, 2, 3) for b in (None, 1, 2, 3, 4, 5, 6) if a or b]
+    df = spark.createDataFrame(rows, "a int, b int, c int").repartition(3)
+    order, after, seen = ["a", "b"], None, []
+    while True:
+        page = rank.page(df, order, 4, after)
+        after = rank.last_key(page, order)
+        if after is None:
+            break
+        seen += [(r.a, r.b) for r in page.collect()]
+    assert seen == [(r.a, r.b) for r in df.orderBy("a", "b").collect()] and len(seen) == len(rows)
+
+
+def test_a_later_page_moves_a_page_only(spark, sf):
+    df = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_totalprice")
+    plan = rank.page(df, ["o_orderkey"], 10, {"o_orderkey": 1400})._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject(limit=10" in plan and "GreaterThanOrEqual(o_orderkey,1400)" in plan
