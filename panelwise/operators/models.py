@@ -193,8 +193,10 @@ def fit(
 def predict(models: Mapping[str, PipelineModel], df: DataFrame) -> DataFrame:
     """``df`` with one more column per model, all in the same pass over the rows."""
 
-    def add(frame: DataFrame, item: tuple[str, PipelineModel]) -> DataFrame:
+    def add(frame: DataFrame, item: tuple[str, PipelineModel | Stack]) -> DataFrame:
         name, model = item
+        if isinstance(model, Stack):
+            return model.transform(frame).withColumnRenamed("predicted", name)
         output = model.stages[-1].getPredictionCol()
         scored = model.transform(frame)
         helpers = [c for c in scored.columns if c == VECTOR or c.startswith(INPUT)]
@@ -244,13 +246,21 @@ def importances(spark: SparkSession, model: PipelineModel, features: Sequence[st
 
 @dataclass(frozen=True)
 class Stack:
-    """Base models and the linear model over their predictions."""
+    """Base models and what makes one prediction of theirs: a fitted linear model or an expression."""
 
     bases: Mapping[str, PipelineModel]
     meta: PipelineModel
 
+    @staticmethod
+    def weighted(bases: Mapping[str, PipelineModel], weights: Mapping[str, float]) -> Stack:
+        """The mean of the bases by weight."""
+        mean = " + ".join(f"`{name}` * {float(weights[name])!r}D" for name in bases)
+        return Stack(bases, PipelineModel([SQLTransformer(statement=f"SELECT *, {mean} AS predicted FROM __THIS__")]))
+
     def transform(self, df: DataFrame) -> DataFrame:
         scored = predict(self.bases, df)
+        if isinstance(self.meta.stages[-1], SQLTransformer):
+            return self.meta.transform(scored).drop(*self.bases)
         return predict({"predicted": self.meta}, scored).drop(*self.bases)
 
     def save(self, folder: str) -> None:
@@ -325,7 +335,7 @@ def load_first(paths: Sequence[str]) -> PipelineModel:
 
 
 def batch_score(
-    requests: DataFrame, model: PipelineModel, features: Sequence[str], missing: str = "median"
+    requests: DataFrame, model: PipelineModel | Stack, features: Sequence[str], missing: str = "median"
 ) -> DataFrame:
     """Prediction (2 digits) and risk band per request, for tables and streams alike.
 

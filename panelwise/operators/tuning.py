@@ -338,6 +338,30 @@ def stacked_test(tuned: Tuned, label: str, specs: Mapping[str, Spec]) -> DataFra
     return models.predict({"predicted": meta_model(tuned, label, specs)}, test).select(label, "predicted")
 
 
+def base_weights(errors: Mapping[str, float]) -> dict[str, float]:
+    """Weights that go with 1 / error and add up to 1."""
+    raw = {name: 1 / (error + 1e-6) for name, error in errors.items()}
+    return {name: r / sum(raw.values()) for name, r in raw.items()}
+
+
+def ensemble_errors(tuned: Tuned, label: str, specs: Mapping[str, Spec], stack_of: Sequence[str]) -> dict[str, float]:
+    """Fold errors of the weighted mean of all candidates and of the stack of some, each learnt on the other folds."""
+    rows = base_predictions(tuned, label, specs).filter(F.col("fold") <= tuned.folds)
+    error = {n: F.avg(F.abs(F.col(label) - F.col(f"base_{n}"))).alias(n) for n in specs}
+    each = {r["fold"]: r for r in rows.groupBy("fold").agg(*error.values()).collect()}
+    sums = {"weighted": 0.0, "stacking": 0.0}
+    for k in each:
+        others = [r for fold, r in each.items() if fold != k] or list(each.values())
+        weights = base_weights({n: sum(r[n] for r in others) / len(others) for n in specs})
+        mean = reduce(lambda a, b: a + b, [F.col(f"base_{n}") * w for n, w in weights.items()])
+        learnt = rows.filter(F.col("fold") != k) if len(each) > 1 else rows
+        meta = models.fit(learnt, [f"base_{n}" for n in stack_of], label, Spec("ridge", {"alpha": 1.0}), scaling="none")
+        seen = models.predict({"stacking": meta}, rows.filter(F.col("fold") == k).withColumn("weighted", mean))
+        found = seen.agg(*[F.avg(F.abs(F.col(label) - F.col(n))).alias(n) for n in sums]).first()
+        sums = {n: sums[n] + found[n] for n in sums}
+    return {n: total / max(1, len(each)) for n, total in sums.items()}
+
+
 def stacked(
     train: DataFrame,
     features: Sequence[str],

@@ -152,9 +152,39 @@ def test_tuned_training_with_ensembles_and_forecast(spark, tables):
     again = {(r.city, r.period): r.predicted for r in stacked.transform(rows.dropna(subset=["temp_mean"])).collect()}
     want = {(r.city, r.period): r.predicted for r in run.stacked.transform(rows.dropna(subset=["temp_mean"])).collect()}
     assert again == want
+    assert set(run.cv_errors) == {*grids, "weighted", "stacking"}
+    report = payloads.scan_report(spark, f"{folder}/report")
+    assert report.first().samples.asDict() == {"train": 252, "test": 48} or report.first().samples.train > report.first().samples.test
+    params = {r.model: {p["key"]: p["value"] for p in r.params} for r in payloads.report_section(report, "best_params").collect()}
+    assert params["random_forest"] == {"trees": 5, "depth": 4, "min_leaf": 3} and params["ridge"]["alpha"] in (1.0, 10.0)
+    assert {r.model: r.weight for r in payloads.report_section(report, "ensemble_weights").collect()} == pytest.approx(run.weights())
     weights = {r.model: r.weight for r in spark.read.parquet(f"{folder}/weights").collect()}
     assert set(weights) == set(grids) and sum(weights.values()) == pytest.approx(1)
     assert spark.read.parquet(f"{folder}/forecasts").count() == 6
+    scored = models.batch_score(rows, training.load_model(folder), run.features)
+    assert scored.count() == rows.count() and scored.filter("risk IS NULL OR predicted IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("winner", ["weighted", "stacking", "ridge"])
+def test_whatever_wins_is_saved_loaded_and_served(spark, tables, monkeypatch, winner):
+    panel = tables["climate_monthly"].withColumnsRenamed({v: k for k, v in feeds.PUBLISHED.items()})
+    rows = monthly_features(panel, "temp_mean", ["city"]).withColumn("period", F.col("year") * 12 + F.col("month"))
+    names, grids = ["temp_mean_lag1", "month_sin", "month_cos"], {"ridge": {"alpha": [1.0]}, "extra_trees": {"trees": [3], "depth": [4]}}
+    found = {"weighted": 1e9, "stacking": 1e9} | ({winner: 0.0} if winner != "ridge" else {})
+    monkeypatch.setattr(training.tuning, "ensemble_errors", lambda *a: found)
+    monkeypatch.setitem(grids, "extra_trees", {"trees": [3], "depth": [0 if winner == "ridge" else 4]})
+    run = training.train_tuned(rows, "temp_mean", names, ["city"], "period", 24, grids, stack_top=2, horizon=2)
+    assert run.best == winner
+    folder = new_folder(spark, "served")
+    training.save_run(run, folder)
+    loaded = training.load_model(folder)
+    assert isinstance(loaded, models.Stack) == (winner != "ridge")
+    a, b = ({(r.city, r.period): r.p for r in models.predict({"p": m}, rows).select("city", "period", "p").collect()} for m in (run.final, loaded))
+    assert a == b and len(set(a.values())) > 10
+    if winner == "weighted":
+        parts = models.predict(dict(run.final.bases), rows).limit(5).collect()
+        for r in parts:
+            assert a[r.city, r.period] == pytest.approx(sum(r[f"base_{n}"] * w for n, w in run.weights().items()))
 
 
 @pytest.mark.parametrize(("duplicates", "factor"), [("first", 10), ("last", 20)])
