@@ -123,8 +123,8 @@ def _parts(df: DataFrame, brackets: Mapping[str, Sequence[tuple[float, float]]])
     for k, (c, some) in enumerate(brackets.items()):
         v = known(c)
         part = reduce(lambda a, b: a + b, [(v >= low).cast("int") + (v > high).cast("int") for low, high in some])
-        entries.append(F.when(v.isNotNull(), F.struct(F.lit(k).alias("k"), part.alias("part"), v.alias("v"))))
-    each = df.select(*brackets).select(F.inline(F.array_compact(F.array(*entries))))
+        entries.append(F.struct(F.lit(k).alias("k"), part.alias("part"), v.alias("v")))
+    each = df.select(*brackets).select(F.inline(F.array(*entries))).filter("v IS NOT NULL")
     inside = F.when(F.col("part") % 2 == 1, F.col("v")).alias("inside")
     counted = each.groupBy("k", "part", inside).agg(F.count("v").alias("count"), F.min("v").alias("low"), F.max("v").alias("high"))
     counted = landed(counted, "parts")

@@ -47,7 +47,7 @@ def scan_or_empty(
 
 
 # Quoting opens at the start of a field only; inside, a doubled quote does not close it.
-_INSIDE = r'(?:[^"]|"")*+'
+_INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 _CLOSED = rf'(?:"{_INSIDE}"[^,]*+|[^",][^,]*+|)'
 _OPENS = rf'(?:{_CLOSED},)*+"{_INSIDE}'
 
@@ -118,7 +118,7 @@ def scan_lines(
     rows = records(spark, path)
     if header:
         rows = rows.filter(F.col(RECORD) != ",".join(schema.names))
-    bare = F.regexp_replace(RECORD, r'(^|,)"(?:[^"]|"")*+"', "$1")
+    bare = F.regexp_replace(RECORD, rf'(^|,)"{_INSIDE}"', "$1")
     n_fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
     parsed = F.from_csv(RECORD, schema.simpleString()[7:-1].replace(":", " "), {"mode": "PERMISSIVE", "escape": '"'})
     is_long = ((n_fields > len(schema)) | F.col("is_broken")).alias("is_long")

@@ -130,6 +130,12 @@ def test_quoted_line_breaks_stay_in_one_record_wherever_files_split(spark, split
     assert sorted(r[2] for r in got) == sorted([*records, "x,y,z", '1,"a\nb",2']) and not any(r[3] for r in got)
 
 
+def test_very_long_quoted_fields(spark):
+    long = 'x ""y"" ' * 20_000
+    rows = ["1,a", f'2,"{long}",z', f'3,"{long}\n{long}"']
+    assert sorted(r[2] for r in records_of(spark, land(spark, rows))) == sorted(rows)
+
+
 def test_a_lost_quote_gathers_no_file(spark):
     lines = ["1,a", '2,"never closed'] + [f"{i},b" for i in range(3, 60)]
     path = land(spark, lines)
