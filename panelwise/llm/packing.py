@@ -5,9 +5,9 @@
    driver, where the configuration program (fewest patterns that hold every length often enough) is
    solved by multiplicative weights: each round prices lengths by how far behind their cover is, a
    knapsack table over all capacities gives the most valuable pattern through each length, and the
-   lengths furthest behind get a share of theirs. Rounding down gives whole copies of patterns; what
-   is left is packed best-fit, also as patterns with copies, so the work depends on the number of
-   lengths and not of pieces.
+   lengths furthest behind get a share of theirs. Amounts are rounded at random to whole copies and the
+   program is solved again on what is left; only the last remainder is packed best-fit, also as patterns
+   with copies, so the work depends on the number of lengths and not of pieces.
 3. Each piece gets its rank among those of its length, from counts of salted groups, so one length
    may hold most rows. The plan's table (length, ranks, sequence, offset) is as bounded as the
    histogram and is what tasks look ranks up in.
@@ -33,7 +33,6 @@ from panelwise.llm.common import landed, on_workers, partitions, slices, texts_o
 from panelwise.llm.wordpieces import encoder
 
 
-
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, size: int, end: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
@@ -52,51 +51,60 @@ def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, size: int, end:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
-def best_patterns(value: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Knapsack over all capacities: the largest value that fits each, and the length taken last (0: a gap)."""
-    lengths = np.flatnonzero(value)
-    worth = value[lengths]
+def best_patterns(value: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Knapsack over all capacities: the largest value that fits each, the length taken last (0: a gap), and
+    the capacity left when the gap is passed."""
+    worth = value[1:]
+    # Backwards, so that the rest of a capacity after each length is one slice.
     best, taken = np.zeros(size + 1), np.zeros(size + 1, np.int64)
     for capacity in range(1, size + 1):
-        best[capacity] = best[capacity - 1]
-        fit = bisect_left(lengths, capacity + 1)
-        if fit:
-            total = best[capacity - lengths[:fit]] + worth[:fit]
-            top = int(total.argmax())
-            if total[top] > best[capacity]:
-                best[capacity], taken[capacity] = total[top], lengths[top]
-    return best, taken
+        total = best[capacity - 1 :: -1] if capacity > 1 else best[:1]
+        total = total + worth[:capacity]
+        top = int(total.argmax())
+        if total[top] > best[capacity - 1]:
+            best[capacity], taken[capacity] = total[top], top + 1
+        else:
+            best[capacity] = best[capacity - 1]
+    return best, taken, np.maximum.accumulate(np.where(taken > 0, np.arange(size + 1), 0))
 
 
-def pattern_of(capacity: int, taken: np.ndarray) -> list[int]:
+def pattern_of(capacity: int, taken: np.ndarray, filled: np.ndarray) -> list[int]:
     out = []
-    while capacity > 0:
-        if taken[capacity]:
-            out.append(int(taken[capacity]))
-            capacity -= out[-1]
-        else:
-            capacity -= 1
+    while capacity := int(filled[capacity]):
+        out.append(int(taken[capacity]))
+        capacity -= out[-1]
     return out
 
 
-def fractional(count: np.ndarray, size: int, rounds: int = 40, wide: int = 256, rate: float = 4.0) -> tuple[dict[tuple[int, ...], float], float]:
-    """Patterns with fractional copies that cover the histogram about once, and a lower bound on their number."""
+def fractional(count: np.ndarray, size: int, rounds: int = 40, wide: int = 256, rate: float = 4.0, step: float | None = None) -> tuple[dict[tuple[int, ...], float], float]:
+    """Patterns with fractional copies that cover the histogram about once, and a lower bound on their number.
+
+    With a ``step``, a length of many pieces gets at most that share of its cover in a round and no more than all
+    of it: the patterns of a round do not all spend the same short pieces at one price, but fewer are found.
+    """
     lengths = np.flatnonzero(count)
     cover, use = np.zeros(size + 1), {}
     bound = float((lengths * count[lengths]).sum()) / size
     for _ in range(rounds):
         value = np.zeros(size + 1)
         value[lengths] = lengths / size * np.exp(-rate * (cover[lengths] - cover[lengths].min()))
-        best, taken = best_patterns(value, size)
+        best, taken, filled = best_patterns(value, size)
         # Prices over the most valuable pattern are a solution of the dual program.
         bound = max(bound, float((value[lengths] * count[lengths]).sum()) / best[size])
+        room = np.full(size + 1, np.inf)
+        if step:
+            room[step * count > 1] = (1 - cover[step * count > 1]).clip(0, step)
         behind = lengths[np.argsort(cover[lengths], kind="stable")][:wide]
         for length in behind.tolist():
             if cover[length] >= 1:
                 continue
-            pattern = tuple(sorted([length, *pattern_of(size - length, taken)], reverse=True))
+            pattern = tuple(sorted([length, *pattern_of(size - length, taken, filled)], reverse=True))
             kinds, times = np.unique(pattern, return_counts=True)
             copies = float(((1 - cover[kinds]).clip(0.02) * count[kinds] / times).min()) / 2
+            copies = min(copies, float((room[kinds] * count[kinds] / times).min()))
+            if copies <= 0:
+                continue
+            room[kinds] -= copies * times / count[kinds]
             use[pattern] = use.get(pattern, 0.0) + copies
             cover[kinds] += copies * times / count[kinds]
         if cover[lengths].min() >= 1:
@@ -106,32 +114,52 @@ def fractional(count: np.ndarray, size: int, rounds: int = 40, wide: int = 256,
 
 @dataclass(frozen=True)
 class Plan:
-    """Whole copies of patterns: ``first`` is the number of a pattern's first sequence."""
+    """Whole copies of patterns, the program's first; ``programmed`` is how many pieces those place."""
 
     patterns: list[tuple[int, ...]]
     copies: list[int]
     bound: float
+    programmed: int = 0
 
     @property
     def sequences(self) -> int:
         return sum(self.copies)
 
 
-def rounded(count: np.ndarray, size: int, use: dict[tuple[int, ...], float], bound: float) -> Plan:
-    left, patterns, copies = count.copy(), [], []
-    for pattern, amount in sorted(use.items(), key=lambda p: (sum(p[0]) - size, p[0]), reverse=True):
-        kinds, times = np.unique(pattern, return_counts=True)
-        n = int(min(np.floor(amount + 1e-9), (left[kinds] // times).min()))
-        if n > 0:
-            left[kinds] -= n * times
-            patterns.append(pattern)
-            copies.append(n)
+def solved(count: np.ndarray, size: int, steps: tuple[float | None, ...] = (None, 0.1)) -> Plan:
+    """The plan of fewest sequences over the program's steps; of equal ones, that with most pieces placed by the program."""
+    return min((_solved(count, size, step) for step in steps), key=lambda p: (p.sequences, -p.programmed))
+
+
+def _solved(count: np.ndarray, size: int, step: float | None, few: int = 64, gain: float = 0.1, seed: int = 7) -> Plan:
+    """Whole copies that place the histogram: the program is solved, rounded at random, and solved again on what is left.
+
+    An amount goes to the whole number above with the probability of its fraction, so what is left keeps the
+    shape of the histogram. Patterns with more room than the program's mean wait for a later solution, where
+    shorter pieces may still fill them. Once a solution places less than ``gain`` of what is left, or ``few``
+    pieces are, they are packed best-fit.
+    """
+    draw, left, bound, chosen = np.random.default_rng(seed), count.copy(), 0.0, []
+    before = int(left.sum())
+    while before > few:
+        use, least = fractional(left, size, step=step)
+        bound = bound or least
+        mean = sum(n * (size - sum(p)) for p, n in use.items()) / sum(use.values())
+        for pattern, amount in sorted(use.items(), reverse=True):
+            if size - sum(pattern) > mean:
+                continue
+            kinds, times = np.unique(pattern, return_counts=True)
+            n = min(int(amount + draw.random()), int((left[kinds] // times).min()))
+            if n > 0:
+                left[kinds] -= n * times
+                chosen.append((pattern, n))
+        now = int(left.sum())
+        if before - now < gain * before:
+            break
+        before = now
     rest = list(best_fit(left, size))
-    alone = list(best_fit(count, size))
-    # Rounding down nothing at all is a rounding too: where lengths leave no ties, it may be the better one.
-    if sum(n for _, n in alone) < sum(copies) + sum(n for _, n in rest):
-        return Plan([p for p, _ in alone], [n for _, n in alone], bound)
-    return Plan(patterns + [p for p, _ in rest], copies + [n for _, n in rest], bound)
+    bound = bound or fractional(count, size)[1]
+    return Plan([p for p, _ in chosen + rest], [n for _, n in chosen + rest], bound, int(count.sum() - left.sum()))
 
 
 def best_fit(left: np.ndarray, size: int) -> Iterator[tuple[tuple[int, ...], int]]:
@@ -196,7 +224,7 @@ def packed(docs: DataFrame, vocabulary: str, size: int = 4096, end: int = 1, key
         count[r["length"]] = r["count"]
     if not count.any():
         return spark.createDataFrame([], "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    plan = rounded(count, size, *fractional(count, size))
+    plan = solved(count, size)
     salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(4 * partitions(spark))).cast("int"))
     order = Window.partitionBy("length").orderBy("salt")
     before = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).select("length", "salt", (F.sum("n").over(order) - F.col("n")).alias("before"))

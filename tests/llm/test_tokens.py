@@ -85,26 +85,45 @@ def test_packing(spark, size):
     assert packing.packed(frame(spark, []), WORDS, size).count() == 0
 
 
+def held_by(plan, size):
+    held = np.zeros(size + 1, np.int64)
+    for pattern, copies in zip(plan.patterns, plan.copies, strict=True):
+        assert sum(pattern) <= size and copies > 0
+        np.add.at(held, np.array(pattern), copies)
+    return held
+
+
 def test_configuration_program():
     draw = np.random.default_rng(2)
     count = np.bincount(draw.integers(1, 101, 5000), minlength=101)
-    use, bound = packing.fractional(count, 100)
-    plan = packing.rounded(count, 100, use, bound)
-    held = np.zeros(101, np.int64)
-    for pattern, copies in zip(plan.patterns, plan.copies, strict=True):
-        assert sum(pattern) <= 100
-        np.add.at(held, np.array(pattern), copies)
-    assert (held == count).all()
+    plan = packing.solved(count, 100)
+    assert (held_by(plan, 100) == count).all()
     least = (count * np.arange(101)).sum() / 100
-    assert least - 1e-6 <= bound <= plan.sequences <= 1.02 * least + 1
+    assert least - 1e-6 <= plan.bound <= plan.sequences <= 1.02 * least + 1
+
+
+@pytest.mark.parametrize("rows", [300, 3000])
+def test_the_program_places_pieces_where_few_share_a_length(rows):
+    draw = np.random.default_rng(rows)
+    count = np.bincount(np.minimum(draw.lognormal(5, 1, rows).astype(int) + 1, 1024), minlength=1025)
+    plan = packing.solved(count, 1024)
+    assert (held_by(plan, 1024) == count).all()
+    assert plan.programmed > count.sum() * (0.3 if rows == 300 else 0.6)
+    assert plan.sequences <= sum(n for _, n in packing.best_fit(count, 1024)) + 1
+
+
+@pytest.mark.parametrize("lengths", [[], [7], [100], [100, 100, 1], [60] * 200])
+def test_plans_of_few_lengths(lengths):
+    count = np.bincount(lengths, minlength=101)
+    plan = packing.solved(count, 100) if lengths else packing.Plan([], [], 0.0)
+    assert (held_by(plan, 100) == count).all()
 
 
 def test_patterns_of_the_program_are_used():
     count = np.zeros(101, np.int64)
     count[[60, 40, 35, 25, 20]] = 1000
-    use, bound = packing.fractional(count, 100)
-    plan = packing.rounded(count, 100, use, bound)
-    assert any(tuple(p) in use for p in plan.patterns) and plan.sequences <= 1.02 * bound + 1
+    plan = packing.solved(count, 100)
+    assert plan.programmed > 2500 and plan.sequences <= 1.02 * plan.bound + 1
 
 
 def test_dual_bound_beats_the_volume_where_pieces_do_not_fit():
