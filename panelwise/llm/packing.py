@@ -76,7 +76,7 @@ def pattern_of(capacity: int, taken: np.ndarray, filled: np.ndarray) -> list[int
     return out
 
 
-def fractional(count: np.ndarray, size: int, rounds: int = 40, wide: int = 256, rate: float = 4.0, step: float | None = None) -> tuple[dict[tuple[int, ...], float], float]:
+def fractional(count: np.ndarray, size: int, rounds: int = 60, wide: int = 256, rate: float = 4.0, step: float | None = None) -> tuple[dict[tuple[int, ...], float], float]:
     """Patterns with fractional copies that cover the histogram about once, and a lower bound on their number.
 
     With a ``step``, a length of many pieces gets at most that share of its cover in a round and no more than all
@@ -100,8 +100,8 @@ def fractional(count: np.ndarray, size: int, rounds: int = 40, wide: int = 256,
                 continue
             pattern = tuple(sorted([length, *pattern_of(size - length, taken, filled)], reverse=True))
             kinds, times = np.unique(pattern, return_counts=True)
-            copies = float(((1 - cover[kinds]).clip(0.02) * count[kinds] / times).min()) / 2
-            copies = min(copies, float((room[kinds] * count[kinds] / times).min()))
+            share = (1 - cover[kinds]).clip(0.02) / 2
+            copies = float((np.where(room[kinds] < np.inf, room[kinds], share) * count[kinds] / times).min())
             if copies <= 0:
                 continue
             room[kinds] -= copies * times / count[kinds]
@@ -126,16 +126,22 @@ class Plan:
         return sum(self.copies)
 
 
-def solved(count: np.ndarray, size: int, steps: tuple[float | None, ...] = (None, 0.1)) -> Plan:
-    """The plan of fewest sequences over the program's steps; of equal ones, that with most pieces placed by the program."""
-    return min((_solved(count, size, step) for step in steps), key=lambda p: (p.sequences, -p.programmed))
+def solved(count: np.ndarray, size: int, steps: tuple[float | None, ...] = (None, 0.05, 0.02)) -> Plan:
+    """The plan of fewest sequences over the program's steps, which end once a plan meets the bound."""
+    best: Plan | None = None
+    for step in steps:
+        if best is None or best.sequences > np.ceil(best.bound) and (step * count > 1).any():
+            plan = _solved(count, size, step)
+            if best is None or plan.sequences < best.sequences:
+                best = plan
+    return best
 
 
 def _solved(count: np.ndarray, size: int, step: float | None, few: int = 64, gain: float = 0.1, seed: int = 7) -> Plan:
     """Whole copies that place the histogram: the program is solved, rounded at random, and solved again on what is left.
 
-    An amount goes to the whole number above with the probability of its fraction, so what is left keeps the
-    shape of the histogram. Patterns with more room than the program's mean wait for a later solution, where
+    Amounts are rounded down, those below one to one with a probability of their size, so what is left keeps the
+    shape of the histogram. Patterns with more room than half the program's mean wait for a later solution, where
     shorter pieces may still fill them. Once a solution places less than ``gain`` of what is left, or ``few``
     pieces are, they are packed best-fit.
     """
@@ -146,10 +152,10 @@ def _solved(count: np.ndarray, size: int, step: float | None, few: int = 64, gai
         bound = bound or least
         mean = sum(n * (size - sum(p)) for p, n in use.items()) / sum(use.values())
         for pattern, amount in sorted(use.items(), reverse=True):
-            if size - sum(pattern) > mean:
+            if size - sum(pattern) > mean / 2:
                 continue
             kinds, times = np.unique(pattern, return_counts=True)
-            n = min(int(amount + draw.random()), int((left[kinds] // times).min()))
+            n = min(int(amount) or int(amount + draw.random()), int((left[kinds] // times).min()))
             if n > 0:
                 left[kinds] -= n * times
                 chosen.append((pattern, n))
