@@ -41,8 +41,11 @@ STAND_INS = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g
 INSIDE = {"@": "a", "$": "s", "!": "i", "|": "i", "+": "t"}
 _ASCII = {c: (STAND_INS.get(chr(c), chr(c)) if chr(c).isalnum() else " ") for c in range(128)}
 _FOLD = str.maketrans({**{chr(c): v for c, v in _ASCII.items()}, **HOMOGLYPHS, **{chr(c): None for c in (0x200B, 0x200C, 0x200D, 0x00AD, 0xFEFF)}})
-_MARKS = {c: None for c in range(0x110000) if unicodedata.combining(chr(c))}
+#: What a text that is not all ASCII loses first: accents go, and marks and blanks of other scripts part words as ASCII ones do.
+_MARKS = {c: " " for c in range(128, 0x110000) if unicodedata.category(chr(c))[0] in "PSZ" or unicodedata.category(chr(c)) == "Cc"}
+_MARKS |= {c: None for c in range(0x110000) if unicodedata.combining(chr(c))}
 _INSIDE = re.compile(r"(?<=[^\W_])[@$!|+](?=[^\W_])")
+_TWO = re.compile(" +([^ ]+)(?: +([^ ]+))?")
 STEMS = range(4, 9)
 
 
@@ -137,10 +140,13 @@ def _met(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, phrases: bool) ->
 
 
 def around(text: str, at: int) -> list[str]:
-    """The word at a place with the one before it, and with the one after it."""
-    before, word = text[max(0, at - 40) : at + 1].split(), text[at : at + 80].split()
-    out = [f" {before[-1]} {word[0]} "] if before and word else []
-    return out + ([f" {word[0]} {word[1]} "] if len(word) > 1 else [])
+    """The whole word after the blank at a place, with the one before it and with the one after it."""
+    word, after = _TWO.match(text, at).groups()
+    end = at
+    while end and text[end - 1] == " ":
+        end -= 1
+    before = text[text.rfind(" ", 0, end) + 1 : end]
+    return [f" {a} {b} " for a, b in ((before, word), (word, after)) if a and b]
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 3000, entries: int = 20_000, least: float = 3.0) -> Lexicon:

@@ -85,6 +85,19 @@ def test_folding():
     assert toxicity.folded("a.b,c!").split() == ["a", "b", "c"]
 
 
+@pytest.mark.parametrize("text", ["“loser” idiot", "loser—idiot", "loser…idiot", "«loser»\u00a0idiot", "loser\u2028idiot", "loser\x85idiot", "loser、idiot！", "loser→idiot"])
+def test_marks_of_any_script_part_words(text):
+    assert toxicity.folded(text).split() == toxicity.folded("loser idiot").split()
+    assert all(w in toxicity.folded(text) for w in (toxicity.folded("loser"), toxicity.folded("idiot")))
+
+
+def test_phrases_hold_whole_words():
+    long = "w" * 300
+    text = toxicity.folded(f"{long}  ogre   {long} end")
+    assert toxicity.around(text, text.index(" ogre")) == [f" {long} ogre ", f" ogre {long} "]
+    assert toxicity.around(" ogre ", 0) == [] and toxicity.around(" a ogre ", 2) == [" a ogre "]
+
+
 def test_exceptions_cancel_hits():
     lexicon = toxicity.Lexicon({" ogre ": 5.0, " ogr": 4.0}, frozenset({" wooden ogre "}), (-3.0, 2.0, 1.0))
     automaton = lexicon.automaton()
