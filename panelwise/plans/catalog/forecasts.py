@@ -162,6 +162,17 @@ _PIVOT_SQL = f"""max(value) FILTER (indicator = '{b.INDICATORS[0]}') AS incidenc
     max(high_ci) FILTER (indicator = '{b.INDICATORS[0]}') AS incidence_high, """ + ", ".join(f"max(value) FILTER (indicator = '{i}') AS {i}" for i in b.INDICATORS[1:])
 
 
+def _wide_indicators(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per city and year: all indicators, the first with its bounds."""
+    name, value = F.col("indicator"), F.col("value")
+    return b.indicator_rows(spark, sf).groupBy(F.col("country").alias("city"), "year").agg(
+        F.sum(F.when(name == b.INDICATORS[0], value)).alias("incidence"),
+        F.min(F.when(name == b.INDICATORS[0], value)).alias("incidence_low"),
+        F.max(F.when(name == b.INDICATORS[0], value)).alias("incidence_high"),
+        *[F.sum(F.when(name == i, value)).alias(i) for i in b.INDICATORS[1:]],
+    )
+
+
 @query(
     "flagship_features",
     f"""WITH t AS (SELECT country AS city, year, {_PIVOT_SQL} FROM indicators GROUP BY ALL),
@@ -180,12 +191,48 @@ _PIVOT_SQL = f"""max(value) FILTER (indicator = '{b.INDICATORS[0]}') AS incidenc
 )
 def flagship_features(spark: SparkSession, sf: str) -> DataFrame:
     """All indicators by year, the first with its bounds, beside the climate, with lags, changes and anomalies."""
-    name, value = F.col("indicator"), F.col("value")
-    wide = b.indicator_rows(spark, sf).groupBy(F.col("country").alias("city"), "year").agg(
-        F.sum(F.when(name == b.INDICATORS[0], value)).alias("incidence"),
-        F.min(F.when(name == b.INDICATORS[0], value)).alias("incidence_low"),
-        F.max(F.when(name == b.INDICATORS[0], value)).alias("incidence_high"),
-        *[F.sum(F.when(name == i, value)).alias(i) for i in b.INDICATORS[1:]],
-    )
+    wide = _wide_indicators(spark, sf)
     out = features.annual_features(wide, b.annual(spark, sf), ["city"])
     return out.withColumns({c: F.round(c, 8) for c in ("incidence_change_pct", "temp_anomaly")})
+
+
+_MEASURES = ("precip_total", "temp_mean", "humidity_mean")
+_WM = "WINDOW w AS (PARTITION BY city ORDER BY year, month), " + ", ".join(
+    f"w{n} AS (PARTITION BY city ORDER BY year, month ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (3, 6, 12)
+)
+_SPREAD = {
+    **{f"annual_lag{n}": f"lag(annual, {n}) OVER w" for n in (12, 24, 36)},
+    **{f"monthly_lag{n}": f"lag(monthly, {n}) OVER w" for n in (1, 3, 6, 12, 24, 36)},
+    **{f"{c}_lag{n}": f"lag({c}, {n}) OVER w" for c in _MEASURES for n in (1, 2, 3, 6, 12)},
+    **{f"{c}_roll{n}": f"avg({c}) OVER w{n}" for c in _MEASURES for n in (3, 6, 12)},
+    **{f"{c}_std{n}": f"stddev_samp({c}) OVER w{n}" for c in _MEASURES for n in (3, 6)},
+    "precip_anomaly": "precip_total - avg(precip_total) OVER w12",
+    "temp_anomaly": "temp_mean - avg(temp_mean) OVER w12",
+    "precip_anomaly_pct": "(precip_total / greatest(avg(precip_total) OVER w12, 1) - 1) * 100",
+    "month_sin": "sin(2 * pi() * month / 12)",
+    "month_cos": "cos(2 * pi() * month / 12)",
+    "is_wet_season": "CASE WHEN month IN (3, 4, 5, 10, 11, 12) THEN 1 ELSE 0 END",
+    "precip_x_temp": "precip_total * temp_mean",
+    "humidity_x_temp": "humidity_mean * temp_mean",
+}
+
+
+@query(
+    "spread_features",
+    f"""WITH t AS (SELECT country AS city, year, {_PIVOT_SQL} FROM indicators GROUP BY ALL),
+             m AS (SELECT city, year, s.month, incidence * s.share AS monthly, incidence AS annual, precip_total, temp_mean, humidity_mean, n_obs,
+                          incidence_low, incidence_high, {", ".join(b.INDICATORS[1:])}
+                   FROM t CROSS JOIN (VALUES {_SHARES}) AS s(month, share)
+                   LEFT JOIN (SELECT city, year, month, precip_total, temp_mean, humidity_mean, n_obs FROM monthly) c USING (city, year, month)
+                   WHERE incidence > 0)
+        SELECT city, year, month, annual, n_obs, incidence_low, incidence_high, {", ".join(b.INDICATORS[1:])},
+               round(monthly, 4) AS monthly, (year - min(year) OVER ()) / (max(year) OVER () - min(year) OVER ())::DOUBLE AS year_normalized,
+               {", ".join(f"round({sql}, 4) AS {name}" for name, sql in _SPREAD.items())} FROM m {_WM}""",
+)
+def spread_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The monthly training table: the first indicator spread over months, climate, the others' years, all features."""
+    wide = landed(_wide_indicators(spark, sf), "indicators")
+    climate = b.monthly(spark, sf).select("city", "year", "month", *_MEASURES, "n_obs")
+    out = features.spread_features(wide, climate, ["city"], ["city"], annual_tables=[wide.drop("incidence")])
+    rounded = out.withColumns({c: F.round(c, 4) for c in ("monthly", *_SPREAD)})
+    return rounded.drop(*_MEASURES)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from panelwise.functions import derive
-from panelwise.operators import join, window
+from panelwise.operators import aggregate, clean, forecast, join, stats, window
 
 
 def annual_features(
@@ -63,3 +63,31 @@ def monthly_features(panel: DataFrame, target: str, keys: Sequence[str]) -> Data
             "humidity_x_temp": F.col("humidity_mean") * F.col("temp_mean"),
         }
     )
+
+
+def spread_features(
+    target: DataFrame,
+    climate: DataFrame,
+    keys: Sequence[str],
+    on: Sequence[str] = (),
+    value: str = "incidence",
+    annual_tables: Sequence[DataFrame] = (),
+) -> DataFrame:
+    """Annual values spread over months, with the months' climate, yearly means of other tables and all features.
+
+    ``keys`` tell the series apart, which may be finer than those of the annual tables, ``on``: each of a
+    country's cities then gets the country's values. Only positive annual values are spread. ``monthly`` is
+    the target, ``annual`` what it was spread from; neither may be an input, their lags may.
+    """
+    out = forecast.seasonal_disaggregate(target, value, [*on, "year"])
+    out = join.merge_left(out, climate, [*on, "year", "month"], "_climate")
+    for i, more in enumerate(annual_tables):
+        out = join.merge_left(out, aggregate.mean_of_numeric(more, [*on, "year"]), [*on, "year"], f"_annual{i or ''}")
+    out = stats.min_max(out, "year", "year_normalized")
+    out = window.with_lags(out, {"annual": (12, 24, 36)}, keys, ["year", "month"])
+    return monthly_features(out, "monthly", keys)
+
+
+def spread_inputs(table: DataFrame, keys: Sequence[str] = ()) -> list[str]:
+    """Columns of ``spread_features`` that may be a model's input."""
+    return clean.numeric_columns(table, [*keys, "year", "month", "monthly", "annual"])

@@ -1,4 +1,4 @@
-"""From the three landed feeds to the processed tables, one lazy plan per table."""
+"""From the three landed feeds, whose text is parsed once, to the processed tables and the monthly panel."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from panelwise.operators import aggregate, clean, join, shape, window
-from panelwise.plans.features import annual_features
+from panelwise.plans.features import annual_features, spread_features
+from panelwise.session import landed
 from panelwise.sources import sinks, text
 
 
@@ -151,29 +152,64 @@ def features(merged_parts: Mapping[str, DataFrame], options: Options) -> DataFra
     return out.withColumnRenamed("incidence", options.target)
 
 
-def process(spark: SparkSession, raw: Mapping[str, str], options: Options) -> dict[str, DataFrame]:
-    """The processed tables by name; ``raw`` maps indicators, estimates and climate to paths."""
-    long = load_indicators(spark, raw["indicators"])
-    estimates = load_indicators(spark, raw["estimates"], ESTIMATE_FEED)
-    readings = load_climate(spark, raw["climate"], options.sentinels)
+@dataclass(frozen=True)
+class Typed:
+    """The feeds as typed rows, written once: every table and the lists of indicators read these."""
+
+    indicators: DataFrame
+    estimates: DataFrame
+    climate: DataFrame
+
+
+def typed(spark: SparkSession, raw: Mapping[str, str], options: Options) -> Typed:
+    """``raw`` maps indicators, estimates and climate to paths."""
+    return Typed(
+        landed(load_indicators(spark, raw["indicators"]), "indicators"),
+        landed(load_indicators(spark, raw["estimates"], ESTIMATE_FEED), "estimates"),
+        landed(load_climate(spark, raw["climate"], options.sentinels), "climate"),
+    )
+
+
+def process(spark: SparkSession, raw: Mapping[str, str] | Typed, options: Options) -> dict[str, DataFrame]:
+    """The processed tables by name, from paths or typed feeds."""
+    rows = raw if isinstance(raw, Typed) else typed(spark, raw, options)
     yearly = aggregate.annual_per_entity if options.rainfall == "per_entity" else aggregate.annual_pooled
     parts = {
-        "indicators": wide_indicators(long, options),
-        "estimates": wide_estimates(estimates, options),
-        "climate": yearly(readings, wet_day=options.wet_day),
+        "indicators": wide_indicators(rows.indicators, options),
+        "estimates": wide_estimates(rows.estimates, options),
+        "climate": yearly(rows.climate, wet_day=options.wet_day),
     }
-    by_city = aggregate.monthly(readings, ["city", "latitude", "longitude"], options.wet_day)
     tables = {
         "indicators_annual": parts["indicators"],
-        "regional": regional(long, options),
+        "regional": regional(rows.indicators, options),
         "estimates_annual": parts["estimates"],
-        "climate_monthly": by_city,
+        "climate_monthly": climate_by_month(rows, options),
         "climate_annual": parts["climate"],
         "features": features(parts, options),
     }
     return {name: clean.rename_present(df, PUBLISHED) for name, df in tables.items()}
 
 
+def climate_by_month(rows: Typed, options: Options) -> DataFrame:
+    return aggregate.monthly(rows.climate, ["city", "latitude", "longitude"], options.wet_day)
+
+
+def monthly_panel(spark: SparkSession, raw: Mapping[str, str] | Typed, options: Options) -> DataFrame:
+    """The monthly table that models are tuned on: one row for each city and month of the target's years.
+
+    The target comes from the estimates where they have it, else from the indicators.
+    """
+    rows = raw if isinstance(raw, Typed) else typed(spark, raw, options)
+    wide, estimates = wide_indicators(rows.indicators, options), wide_estimates(rows.estimates, options)
+    source, name = estimates, f"{options.target}_value"
+    if name not in estimates.columns:
+        source, name = wide, clean.first_present(wide, [options.target], parts=["incidence", "1000"])
+    target = source.select("year", F.col(name).alias("incidence"))
+    # What the target was spread from is its own month's answer.
+    others = [wide.drop(options.target, name), estimates.drop(*[f"{options.target}_{x}" for x in ("value", "low_ci", "high_ci")])]
+    return spread_features(target, climate_by_month(rows, options), ["city"], annual_tables=others)
+
+
 def write_tables(tables: Mapping[str, DataFrame], out: str, as_csv: bool = False) -> None:
     for name, df in tables.items():
         if as_csv:

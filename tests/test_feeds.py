@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwise.operators import models
+from panelwise.operators.forecast import SEASON_SHARES
 from panelwise.operators.models import Spec
 from panelwise.plans import feeds, training
-from panelwise.plans.features import monthly_features
+from panelwise.plans.features import monthly_features, spread_inputs
 from panelwise.plans.feeds import Options
 from panelwise.session import new_folder
 from panelwise.sources import payloads
@@ -197,3 +198,37 @@ def test_estimates_are_the_focal_countrys(spark, raw, duplicates, factor):
     out = feeds.process(spark, {**raw, "estimates": path}, Options("AAA", TARGET, duplicates=duplicates))
     got = {r.year: r.cases_value for r in out["estimates_annual"].collect()}
     assert got == {y: y * factor for y in YEARS}
+
+
+def test_monthly_panel_from_text_to_a_served_winner(spark, raw, climate):
+    panel = feeds.monthly_panel(spark, feeds.typed(spark, raw, Options("AAA", TARGET)), Options("AAA", TARGET)).cache()
+    y = {y: 300.0 - 9 * (y - 2000) + (y % 3) for y in YEARS}
+    months = climate.groupby(["city", "year", "month"]).agg(t=("temp", "mean"), r=("rain", "sum")).reset_index()
+    got = panel.filter("city IS NOT NULL").orderBy("city", "year", "month").toPandas()
+    assert len(got) == len(months) == 2 * 11 * 12 and panel.filter("city IS NULL").count() == 24
+    np.testing.assert_allclose(got.temp_mean, months.t)
+    np.testing.assert_allclose(got.monthly, [y[a] * SEASON_SHARES[m - 1] for a, m in zip(got.year, got.month, strict=True)])
+    np.testing.assert_allclose(got.annual_lag12, [y[a - 1] if a > 2002 else np.nan for a in got.year])
+    np.testing.assert_allclose(got.monthly_lag3, got.groupby("city").monthly.shift(3))
+    np.testing.assert_allclose(got.precip_total_roll6, months.groupby("city").r.transform(lambda r: r.rolling(6, min_periods=1).mean()), atol=1e-9)
+    np.testing.assert_allclose(got.year_normalized, (got.year - 2000) / 12)
+    np.testing.assert_allclose(got.population, [np.nan if a == 2003 else 1000 + a for a in got.year])
+    np.testing.assert_allclose(got.cases_low_ci, [a * 9 if a <= 2010 else np.nan for a in got.year])
+    names = spread_inputs(panel, ["latitude", "longitude"])
+    assert not {"annual", "monthly", TARGET, "year", "month", "city"} & set(names) and {"population", "cases_value", "annual_lag36"} <= set(names)
+    grids = {"ridge": {"alpha": [1.0]}, "random_forest": {"trees": [5], "depth": [4], "min_leaf": [3]}}
+    rows = panel.dropna(subset=["annual_lag12"])
+    run = training.train_tuned(rows, "monthly", names, ["city", "month"], "year", 2, grids, stack_top=2, horizon=1)
+    test = {r.model: r.r2 for r in run.metrics.filter("split = 'test'").collect()}
+    assert test[run.best] > 0.5 and run.samples["test"] == 2 * 2 * 12
+    folder = new_folder(spark, "monthly-run")
+    training.save_run(run, folder)
+    scored = models.batch_score(rows, training.load_model(folder), run.features)
+    assert scored.count() == rows.count() and scored.filter("risk IS NULL OR predicted IS NULL").count() == 0
+    assert run.forecasts.count() == 3 * 12  # Two cities, and the months before their climate begins.
+
+
+def test_monthly_panel_of_an_estimated_target(spark, raw):
+    panel = feeds.monthly_panel(spark, raw, Options("AAA", "cases"))
+    assert {r.year: round(r.s, 6) for r in panel.filter("city = 'north' OR city IS NULL").groupBy("year").agg(F.sum("monthly").alias("s")).collect()} == {y: 10.0 * y for y in range(2000, 2011)}
+    assert not {"cases_value", "cases_low_ci", "cases_high_ci"} & set(panel.columns) and {TARGET, "population"} <= set(panel.columns)
