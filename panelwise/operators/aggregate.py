@@ -65,7 +65,9 @@ def annual_per_entity(
 
 
 def mean_of_numeric(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in numeric_columns(df, keys)])
+    """Means of all number columns; the keys alone where there are none."""
+    means = [F.avg(c).alias(c) for c in numeric_columns(df, keys)]
+    return df.groupBy(*keys).agg(*means) if means else df.select(*keys).distinct()
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

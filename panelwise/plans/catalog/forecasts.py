@@ -200,6 +200,8 @@ _MEASURES = ("precip_total", "temp_mean", "humidity_mean")
 _WM = "WINDOW w AS (PARTITION BY city ORDER BY year, month), " + ", ".join(
     f"w{n} AS (PARTITION BY city ORDER BY year, month ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in (3, 6, 12)
 )
+# Sums of floats in a window's order are compared to four digits, copies and products as they are.
+_EXACT = ("_lag", "_x_", "is_wet")
 _SPREAD = {
     **{f"annual_lag{n}": f"lag(annual, {n}) OVER w" for n in (12, 24, 36)},
     **{f"monthly_lag{n}": f"lag(monthly, {n}) OVER w" for n in (1, 3, 6, 12, 24, 36)},
@@ -227,12 +229,12 @@ _SPREAD = {
                    WHERE incidence > 0)
         SELECT city, year, month, annual, n_obs, incidence_low, incidence_high, {", ".join(b.INDICATORS[1:])},
                round(monthly, 4) AS monthly, (year - min(year) OVER ()) / (max(year) OVER () - min(year) OVER ())::DOUBLE AS year_normalized,
-               {", ".join(f"round({sql}, 4) AS {name}" for name, sql in _SPREAD.items())} FROM m {_WM}""",
+               {", ".join(f"{sql} AS {name}" if any(x in name for x in _EXACT) else f"round({sql}, 4) AS {name}" for name, sql in _SPREAD.items())} FROM m {_WM}""",
 )
 def spread_features(spark: SparkSession, sf: str) -> DataFrame:
     """The monthly training table: the first indicator spread over months, climate, the others' years, all features."""
     wide = landed(_wide_indicators(spark, sf), "indicators")
     climate = b.monthly(spark, sf).select("city", "year", "month", *_MEASURES, "n_obs")
     out = features.spread_features(wide, climate, ["city"], ["city"], annual_tables=[wide.drop("incidence")])
-    rounded = out.withColumns({c: F.round(c, 4) for c in ("monthly", *_SPREAD)})
+    rounded = out.withColumns({c: F.round(c, 4) for c in ("monthly", *_SPREAD) if not any(x in c for x in _EXACT)})
     return rounded.drop(*_MEASURES)
