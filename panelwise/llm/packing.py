@@ -76,7 +76,7 @@ def pattern_of(capacity: int, taken: np.ndarray, filled: np.ndarray) -> list[int
     return out
 
 
-def fractional(count: np.ndarray, size: int, rounds: int = 60, wide: int = 256, rate: float = 4.0, step: float | None = None) -> tuple[dict[tuple[int, ...], float], float]:
+def fractional(count: np.ndarray, size: int, rounds: int = 40, wide: int = 256, rate: float = 4.0, step: float | None = None) -> tuple[dict[tuple[int, ...], float], float]:
     """Patterns with fractional copies that cover the histogram about once, and a lower bound on their number.
 
     With a ``step``, a length of many pieces gets at most that share of its cover in a round and no more than all
@@ -127,27 +127,27 @@ class Plan:
 
 
 def solved(count: np.ndarray, size: int, steps: tuple[float | None, ...] = (None, 0.05, 0.02)) -> Plan:
-    """The plan of fewest sequences over the program's steps, which end once a plan meets the bound."""
+    """The plan of fewest sequences over the program's steps, which end once a plan is within a thousandth of the bound."""
     best: Plan | None = None
     for step in steps:
-        if best is None or best.sequences > np.ceil(best.bound) and (step * count > 1).any():
+        if best is None or best.sequences > np.ceil(1.001 * best.bound) and (step * count > 1).any():
             plan = _solved(count, size, step)
             if best is None or plan.sequences < best.sequences:
                 best = plan
     return best
 
 
-def _solved(count: np.ndarray, size: int, step: float | None, few: int = 64, gain: float = 0.1, seed: int = 7) -> Plan:
+def _solved(count: np.ndarray, size: int, step: float | None, rest: float = 0.02, few: int = 64, gain: float = 0.1, seed: int = 7) -> Plan:
     """Whole copies that place the histogram: the program is solved, rounded at random, and solved again on what is left.
 
     Amounts are rounded down, those below one to one with a probability of their size, so what is left keeps the
     shape of the histogram. Patterns with more room than half the program's mean wait for a later solution, where
-    shorter pieces may still fill them. Once a solution places less than ``gain`` of what is left, or ``few``
-    pieces are, they are packed best-fit.
+    shorter pieces may still fill them. Once a solution places less than ``gain`` of what is left, or no more
+    than a ``rest`` of all pieces or ``few`` are left, these are packed best-fit.
     """
     draw, left, bound, chosen = np.random.default_rng(seed), count.copy(), 0.0, []
     before = int(left.sum())
-    while before > few:
+    while before > max(few, rest * count.sum()):
         use, least = fractional(left, size, step=step)
         bound = bound or least
         mean = sum(n * (size - sum(p)) for p, n in use.items()) / sum(use.values())
@@ -163,9 +163,9 @@ def _solved(count: np.ndarray, size: int, step: float | None, few: int = 64, gai
         if before - now < gain * before:
             break
         before = now
-    rest = list(best_fit(left, size))
+    last = list(best_fit(left, size))
     bound = bound or fractional(count, size)[1]
-    return Plan([p for p, _ in chosen + rest], [n for _, n in chosen + rest], bound, int(count.sum() - left.sum()))
+    return Plan([p for p, _ in chosen + last], [n for _, n in chosen + last], bound, int(count.sum() - left.sum()))
 
 
 def best_fit(left: np.ndarray, size: int) -> Iterator[tuple[tuple[int, ...], int]]:
