@@ -2,11 +2,13 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from panelwise.llm import automaton, encoding, materialize, packing
 from panelwise.llm.queries import BYTES, QUERIES, WORDS
+from panelwise.llm.wordpieces import ChunkEncoder
 from tests.llm.data import frame, hard_documents
 
 ODD = [
@@ -67,6 +69,18 @@ def pieces_of(rows, size, t):
     return sorted(out, key=repr)
 
 
+def test_words_are_known_without_case_and_marks():
+    texts = ["The the. THE&&& Été été; It's it's", "x<|endoftext|> <|ENDOFTEXT|> <|endoftext|>.", "J\u030c \u01f0. a\u0338= e\u0301. I\u0307 \u0130 \u0178! a' a's 12.", "", "  "]
+    known, t = ChunkEncoder(WORDS), Tokenizer.from_file(WORDS)
+    ids, bounds = known.ids(pa.array(texts, pa.large_string()))
+    for n, text in enumerate(texts):
+        assert ids[bounds[n] : bounds[n + 1]].tolist() == t.encode(text, add_special_tokens=False).ids
+    assert {"the", "été", ".", "&&&"} <= set(known.row) and not {"The", "the.", "THE&&&", "Été", "été;"} & set(known.row)
+    small = ChunkEncoder(WORDS, remembered=0)  # forgets before each run
+    for _ in range(2):
+        assert np.array_equal(small.ids(pa.array(texts, pa.large_string()))[0], ids)
+
+
 @pytest.mark.parametrize("size", [4096, 64])
 def test_packing(spark, size):
     rows, t = hard_documents(), Tokenizer.from_file(WORDS)
