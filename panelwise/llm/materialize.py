@@ -5,10 +5,11 @@
    tasks give every run its first number. Nothing is tokenised twice and nothing is gathered.
 2. A Feistel network with keyed rounds permutes the numbers; walking its cycles until a number lies
    below the count makes it a permutation of exactly that many slots.
-3. Slots are dealt by shard (a range of slots); each shard is one file of records of one size in
-   order of slots, so a record's place is arithmetic: shard ``slot // rows``, byte ``slot % rows *
-   record``. Files go through Spark's own writer, which survives lost executors. A reader may begin at
-   any slot and goes on sequentially.
+3. Slots are dealt by shard (a range of slots); each shard is a few files, its parts, of records of one
+   size in order of slots, so a record's place is arithmetic: shard ``slot // rows``, part ``slot % rows
+   // part``, byte ``slot % rows % part * record``. A reading task holds a file, so parts are small
+   whatever the shard. Files go through Spark's own writer, which survives lost executors. A reader may
+   begin at any slot and goes on sequentially.
 
 A record: doc_id (8 bytes), piece (4), length (4), flags (1: the id is null), ids (2 each, padded with
 zeros), a line feed. Null texts are empty; an empty text is one sequence without ids; ids may be null
@@ -61,17 +62,17 @@ class Order:
         return out.astype(np.int64)
 
 
-def _pack(facts: np.ndarray, ids: np.ndarray) -> bytes:
-    """Facts and ids of some sequences, compressed with low and high bytes of the ids apart."""
-    planes = ids.astype("<u2").view(np.uint8).reshape(-1, 2).T
-    return len(facts).to_bytes(8, "little") + bytes(pa.compress(facts.tobytes() + planes.tobytes(), "zstd", asbytes=True)) + (facts.nbytes + planes.nbytes).to_bytes(8, "little")
+def _pack(facts: np.ndarray, ids: np.ndarray, level: int = 3) -> bytes:
+    """Facts and ids of some sequences, compressed; from level 3 on, repeated words are found in pairs of bytes."""
+    raw = facts.tobytes() + ids.astype("<u2").tobytes()
+    return len(facts).to_bytes(8, "little") + pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True) + len(raw).to_bytes(8, "little")
 
 
 def _unpack(blob: bytes, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     n, size = int.from_bytes(blob[:8], "little"), int.from_bytes(blob[-8:], "little")
     raw = pa.decompress(blob[8:-8], size, "zstd", asbytes=True)
     facts = np.frombuffer(raw, kind, n)
-    return facts, np.frombuffer(raw, np.uint8, -1, facts.nbytes).reshape(2, -1).T.copy().view("<u2").ravel()
+    return facts, np.frombuffer(raw, "<u2", -1, facts.nbytes)
 
 
 def _sequences(batches: Iterator[pa.RecordBatch], vocabulary: str, stride: int) -> Iterator[pa.RecordBatch]:
@@ -86,7 +87,7 @@ def _sequences(batches: Iterator[pa.RecordBatch], vocabulary: str, stride: int)
             facts["doc_id"], facts["null"] = np.repeat(doc.fillna(0).to_numpy(np.int64), n), np.repeat(doc.isna().to_numpy(), n)
             facts["piece"] = np.arange(len(facts)) - np.repeat(np.cumsum(n) - n, n)
             facts["length"] = np.minimum(np.repeat(count, n) - facts["piece"].astype(np.int64) * stride, stride)
-            columns = [pa.array([task], pa.int32()), pa.array([before], pa.int64()), pa.array([len(facts)], pa.int64()), pa.array([_pack(facts, ids)], pa.binary())]
+            columns = [pa.array([task], pa.int32()), pa.array([before], pa.int64()), pa.array([len(facts)], pa.int64()), pa.array([_pack(facts, ids, 6)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["task", "before", "n", "packed"])
             before += len(facts)
 
@@ -128,7 +129,7 @@ def _dealt(batches: Iterator[pa.RecordBatch], order: Order, first: Broadcast, ro
     yield from flushed()
 
 
-def _records(batches: Iterator[pa.RecordBatch], stride: int) -> Iterator[pa.RecordBatch]:
+def _records(batches: Iterator[pa.RecordBatch], stride: int, rows: int, part: int) -> Iterator[pa.RecordBatch]:
     """Records of one shard after the other, in order of slots; rows arrive by shard."""
     kind = np.dtype([("slot", "<i8"), *FACTS.descr])
 
@@ -140,11 +141,13 @@ def _records(batches: Iterator[pa.RecordBatch], stride: int) -> Iterator[pa.Reco
         for name in FACTS.names:
             out[name] = facts[name]
         out["ids"][np.arange(stride)[None, :] < length[:, None]] = ids
-        out = out[np.argsort(facts["slot"], kind="stable")]
-        raw, size = out.tobytes(), out.dtype.itemsize - 1
-        for a in range(0, len(out), 4096):
-            rows = [raw[i * (size + 1) : i * (size + 1) + size] for i in range(a, min(a + 4096, len(out)))]
-            yield pa.RecordBatch.from_arrays([pa.array([shard] * len(rows), pa.int64()), pa.array(rows, pa.binary())], ["shard", "record"])
+        order = np.argsort(facts["slot"], kind="stable")
+        slot, size = facts["slot"][order], out.dtype.itemsize - 1
+        for a in range(0, len(out), 2048):
+            raw, at = out[order[a : a + 2048]].tobytes(), slot[a : a + 2048]
+            some = [raw[i : i + size] for i in range(0, len(raw), size + 1)]
+            columns = [pa.array([shard] * len(some), pa.int64()), pa.array(at % rows // part), pa.array(at), pa.array(some, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "part", "slot", "record"])
 
     last, blobs = None, []
     for batch in batches:
@@ -166,9 +169,10 @@ class Shards:
     count: int
     rows: int
     stride: int
+    part: int
 
 
-def materialize(docs: DataFrame, vocabulary: str, path: str | None = None, stride: int = 256, rows: int = 16_384, seed: int = 17, key: str = "doc_id", text: str = "text") -> Shards:
+def materialize(docs: DataFrame, vocabulary: str, path: str | None = None, stride: int = 256, rows: int = 16_384, seed: int = 17, key: str = "doc_id", text: str = "text", part: int = 4096) -> Shards:
     """Write the shards below ``path`` (a new folder in the shared one by default)."""
     spark = on_workers(docs.sparkSession)
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -178,37 +182,41 @@ def materialize(docs: DataFrame, vocabulary: str, path: str | None = None, strid
     for r in totals:
         first[r["task"]] = count
         count += r["n"]
-    shards = Shards(path or new_folder(spark, "shards"), count, rows, stride)
+    shards = Shards(path or new_folder(spark, "shards"), count, rows, stride, part)
     if not count:
         return shards
     dealt = runs.mapInArrow(partial(_dealt, order=Order(count, seed), first=spark.sparkContext.broadcast(first), rows=rows), "shard long, packed binary")
     ordered = dealt.repartition("shard").sortWithinPartitions("shard")
-    records = ordered.mapInArrow(partial(_records, stride=stride), "shard long, record binary")
-    records.select(F.col("record").cast("string").alias("value"), "shard").write.partitionBy("shard").option("compression", "none").text(shards.path)
+    records = ordered.mapInArrow(partial(_records, stride=stride, rows=rows, part=part), "shard long, part long, slot long, record binary")
+    # Sorted by slot too: the writer's own sort, by shard and part alone, does not keep the order once it spills.
+    written = records.sortWithinPartitions("shard", "part", "slot").select(F.col("record").cast("string").alias("value"), "shard", "part")
+    written.write.partitionBy("shard", "part").option("compression", "none").text(shards.path)
     return shards
 
 
-def _read(batches: Iterator[pa.RecordBatch], stride: int, rows: int, start: int) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], stride: int, rows: int, part: int, start: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+        for shard, n, content in zip(batch.column("shard").to_pylist(), batch.column("part").to_pylist(), batch.column("content"), strict=True):
             records = np.frombuffer(content.as_buffer(), record_type(stride))
-            slot = shard * rows + np.arange(len(records))
+            slot = shard * rows + n * part + np.arange(len(records))
             records, slot = records[slot >= start], slot[slot >= start]
-            for a in range(0, len(records), 8192):
-                some = records[a : a + 8192]
+            for a in range(0, len(records), 2048):
+                some = records[a : a + 2048]
                 ids = [r["ids"][: r["length"]].astype("<u4").tobytes() for r in some]
                 columns = [
-                    pa.array(some["doc_id"], mask=some["null"] == 1), pa.array(some["piece"].astype(np.int32)), pa.array(slot[a : a + 8192]),
+                    pa.array(some["doc_id"], mask=some["null"] == 1), pa.array(some["piece"].astype(np.int32)), pa.array(slot[a : a + 2048]),
                     pa.array([shard] * len(some), pa.int64()), pa.array(some["length"].astype(np.int32)), pa.array(ids, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "slot", "shard", "length", "ids"])
 
 
 def read(spark: SparkSession, shards: Shards, start: int = 0) -> DataFrame:
-    """doc_id, piece, slot, shard, length, ids (32-bit) of all records from a slot on; earlier shards are not opened."""
+    """doc_id, piece, slot, shard, length, ids (32-bit) of all records from a slot on; earlier files are not opened."""
     on_workers(spark)
     if not shards.count:
         return spark.createDataFrame([], "doc_id long, piece int, slot long, shard long, length int, ids binary")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(shards.path)
-    kept = files.where(F.col("shard") >= start // shards.rows).select(F.col("shard").cast("long").alias("shard"), "content")
-    return kept.mapInArrow(partial(_read, stride=shards.stride, rows=shards.rows, start=start), "doc_id long, piece int, slot long, shard long, length int, ids binary")
+    first, within = start // shards.rows, start % shards.rows // shards.part
+    later = (F.col("shard") > first) | (F.col("shard") == first) & (F.col("part") >= within)
+    kept = files.where(later).select(F.col("shard").cast("long").alias("shard"), F.col("part").cast("long").alias("part"), "content")
+    return kept.mapInArrow(partial(_read, stride=shards.stride, rows=shards.rows, part=shards.part, start=start), "doc_id long, piece int, slot long, shard long, length int, ids binary")

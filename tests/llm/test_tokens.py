@@ -166,3 +166,23 @@ def test_shards(spark):
     later = materialize.read(spark, made, start=250).collect()
     assert sorted(r.slot for r in later) == list(range(250, len(want)))
     assert materialize.read(spark, materialize.materialize(frame(spark, []), WORDS)).count() == 0
+
+
+def test_shards_are_files_that_a_task_can_hold(spark):
+    docs = frame(spark, hard_documents())
+    whole, cut = materialize.materialize(docs, WORDS, stride=16), materialize.materialize(docs, WORDS, stride=16, rows=100, part=32)
+    record = materialize.record_type(16).itemsize
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+    assert whole.count > 8192
+    assert max(r.length for r in files.load(whole.path).select("length").collect()) == 4096 * record
+    assert {r.length // record for r in files.load(cut.path).where("shard = 1").select("length").collect()} == {32, 4}
+    # The permutation is one of numbers alone, so how shards are cut moves nothing.
+    columns = ["slot", "doc_id", "piece", "length", "ids"]
+    places = [sorted((tuple(r) for r in materialize.read(spark, made).select(*columns).collect()), key=repr) for made in (whole, cut)]
+    assert places[0] == places[1] and len(places[0]) == whole.count
+    later = materialize.read(spark, cut, start=170).select("slot").collect()
+    assert sorted(r.slot for r in later) == list(range(170, cut.count))
+    parts = files.load(cut.path).where("shard = 1").select("part", "content").collect()
+    held = {(1, r.part, i): x["piece"] for r in parts for i, x in enumerate(np.frombuffer(bytes(r.content), materialize.record_type(16)))}
+    piece = {r.slot: r.piece for r in materialize.read(spark, cut).collect()}
+    assert all(piece[100 + 32 * part + i] == x for (_, part, i), x in held.items())
