@@ -145,8 +145,8 @@ def anomaly_pct(spark: SparkSession, sf: str) -> DataFrame:
         FROM {_GAPPY}""",
 )
 def anomaly_global(spark: SparkSession, sf: str) -> DataFrame:
-    out = window.with_global_anomaly(gappy(spark, sf), "p", "anomaly_city", KEYS)
-    return window.with_global_anomaly(out, "p", "anomaly_all").drop("p")
+    out = window.with_global_anomaly(gappy(spark, sf), "p", "anomaly_all")
+    return window.with_global_anomaly(out, "p", "anomaly_city", KEYS).select(*ID, "anomaly_city", "anomaly_all")
 
 
 @query(
